@@ -1,0 +1,246 @@
+"""Boundary cases of validation, features and rules on hand-made rows."""
+
+from __future__ import annotations
+
+import json
+import math
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tillwatch.config import JoinPolicy, ScoringConfig
+from tillwatch.functions import geo, payloads, rules
+from tillwatch.operators import enrich, ingest, scoring, velocity
+from tillwatch.schemas import MESSAGE, RAW_TXN
+
+T0 = datetime(2024, 1, 1, 12, 0, 0)
+GOOD = {
+    "transaction_id": "t", "user_id": "u", "amount": 5.0, "merchant_id": "m",
+    "merchant_lat": 1.0, "merchant_lon": 2.0, "status": "ok", "timestamp": "2024-01-01T12:00:00Z",
+}
+
+
+def message(**changes):
+    body = {k: v for k, v in {**GOOD, **changes}.items() if v is not Ellipsis}
+    return json.dumps(body)
+
+
+CASES = [
+    ("{bad", "missing_transaction_id"),
+    ("[]", "missing_transaction_id"),
+    (None, "schema_parse_error"),
+    ("", "schema_parse_error"),
+    (message(), None),
+    (message(transaction_id=""), "missing_transaction_id"),
+    (message(transaction_id=...), "missing_transaction_id"),
+    (message(transaction_id=" "), None),
+    (message(user_id=None), "missing_user_id"),
+    (message(user_id=""), "missing_user_id"),
+    (message(amount=...), "missing_amount"),
+    (message(amount="1.5"), "missing_amount"),
+    (message(amount=0), "non_positive_amount"),
+    (message(amount=-1), "non_positive_amount"),
+    (message(amount=float("nan")), None),
+    (message(merchant_id=""), "missing_merchant_id"),
+    (message(timestamp="nope"), "bad_timestamp"),
+    (message(timestamp=...), "bad_timestamp"),
+    (message(user_id="", amount=0, timestamp="nope"), "missing_user_id"),
+    (message(amount=0, merchant_id=""), "non_positive_amount"),
+    (message(merchant_lat=None, merchant_lon=...), None),
+]
+
+
+@pytest.fixture(scope="module")
+def messages(spark):
+    data = [("transactions-raw", 0, i, text) for i, (text, _) in enumerate(CASES)]
+    return spark.createDataFrame(data, MESSAGE)
+
+
+def reasons_of(tagged):
+    return {r["k_offset"]: r["dlq_reason"] for r in tagged.select("k_offset", "dlq_reason").collect()}
+
+
+def tagged(messages, strict=False, **kwargs):
+    parsed = ingest.parse_raw(ingest.project_meta(messages), strict)
+    return ingest.tag_dlq(ingest.expand_txn(parsed), strict, **kwargs)
+
+
+def test_dlq_reason_is_the_first_broken_rule(messages):
+    assert reasons_of(tagged(messages)) == {i: reason for i, (_, reason) in enumerate(CASES)}
+
+
+def test_strict_parse_tells_unreadable_text_apart(messages):
+    got = reasons_of(tagged(messages, strict=True))
+    assert got[0] == "schema_parse_error"
+    assert got[4] is None and got[5] == "missing_transaction_id"
+
+
+def test_every_message_is_good_or_bad(messages):
+    good, bad = ingest.split(tagged(messages))
+    assert good.count() + bad.count() == len(CASES)
+    assert not {"j", "dlq_reason"} & set(good.columns)
+
+
+def test_future_events_are_rejected_only_on_request(spark):
+    later = spark.createDataFrame([("t", 0, 1, message(timestamp="2999-01-01T00:00:00Z"))], MESSAGE)
+    assert reasons_of(tagged(later)) == {1: None}
+    assert reasons_of(tagged(later, max_future_skew="1 HOUR")) == {1: "future_timestamp"}
+
+
+def test_dlq_payload_keeps_text_and_position(messages):
+    _, bad = ingest.split(tagged(messages))
+    values = [json.loads(r["value"]) for r in payloads.dlq_payload(bad).collect()]
+    first = next(v for v in values if v["offset"] == 0)
+    assert (first["reason"], first["topic"], first["partition"], first["raw_json"]) == (
+        "missing_transaction_id", "transactions-raw", 0, "{bad")
+    assert "raw_json" not in next(v for v in values if v["offset"] == 2)
+
+
+def test_normalize_ingest(spark):
+    data = [
+        ("u", 5.0, "m", 1.0, 2.0, None), ("u", 0.0, "m", None, None, "x"), ("u", None, "m", 1.0, 1.0, "x"),
+        (None, 5.0, "m", 1.0, 1.0, "x"), ("u", 7.5, "m", None, None, "done"),
+    ]
+    requests = spark.createDataFrame(
+        data, "user_id string, amount double, merchant_id string, merchant_lat double, "
+              "merchant_lon double, status string")
+    accepted, rejected = ingest.normalize_ingest(requests)
+    bodies = [json.loads(r["value"]) for r in accepted.collect()]
+    assert sorted(b["status"] for b in bodies) == ["done", "pending"]
+    assert all(list(b) == RAW_TXN.fieldNames() for b in bodies)
+    assert all(b["timestamp"].endswith("Z") and len(b["transaction_id"]) == 36 for b in bodies)
+    assert rejected.count() == 3
+
+
+def haversine_model(lat1, lon1, lat2, lon2):
+    if None in (lat1, lon1, lat2, lon2):
+        return 0.0
+    p, q = math.radians(lat1), math.radians(lat2)
+    a = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(
+        math.radians(lon2 - lon1) / 2) ** 2
+    return 6371.0 * 2 * math.atan2(math.sqrt(a), math.sqrt(max(0.0, 1 - a)))
+
+
+def test_haversine_against_model(spark):
+    points = [(0.0, 0.0, 0.0, 180.0), (10.0, 20.0, 10.0, 20.0), (None, 0.0, 1.0, 1.0),
+              (1.0, 1.0, 1.0, None), (52.5, 13.4, 48.1, 11.6), (-90.0, 0.0, 90.0, 0.0),
+              (33.3, 44.4, -33.3, -135.6)]
+    df = spark.createDataFrame(points, "a double, b double, c double, d double")
+    got = df.withColumn("km", geo.haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")))
+    for r in got.collect():
+        assert r["km"] == pytest.approx(haversine_model(r["a"], r["b"], r["c"], r["d"]), abs=1e-6)
+
+
+def speed_row(spark, updated, event, lat=0.0):
+    schema = ("last_merchant_lat double, last_merchant_lon double, updated_at timestamp, "
+              "merchant_lat double, merchant_lon double, event_time timestamp")
+    df = spark.createDataFrame([(lat, 0.0, updated, 0.0, 1.0, event)], schema)
+    return scoring.with_geo_speed(df).first()["geo_speed_kmh"]
+
+
+def test_geo_speed_needs_known_place_and_forward_time(spark):
+    km = haversine_model(0.0, 0.0, 0.0, 1.0)
+    assert speed_row(spark, T0, T0 + timedelta(minutes=30)) == pytest.approx(2 * km)
+    assert speed_row(spark, T0, T0) == 0.0
+    assert speed_row(spark, T0 + timedelta(hours=1), T0) == 0.0
+    assert speed_row(spark, None, T0) == 0.0
+    assert speed_row(spark, T0, None) == 0.0
+    assert speed_row(spark, T0, T0 + timedelta(hours=1), lat=None) == 0.0
+
+
+def features(spark, data):
+    return spark.createDataFrame(data, "velocity_5min long, amount_zscore double, geo_speed_kmh double")
+
+
+@pytest.mark.parametrize("velocity_,zscore,speed,total,flag,text", [
+    (5, 3.0, 500.0, 0, False, ""),
+    (6, 3.0, 500.0, 40, False, "HIGH_VELOCITY"),
+    (5, 3.01, 500.0, 30, False, "AMOUNT_ANOMALY"),
+    (5, 3.01, 500.1, 60, True, "AMOUNT_ANOMALY,GEO_IMPOSSIBLE"),
+    (6, 0.0, 501.0, 70, True, "HIGH_VELOCITY,GEO_IMPOSSIBLE"),
+    (9, 9.0, 900.0, 100, True, "HIGH_VELOCITY,AMOUNT_ANOMALY,GEO_IMPOSSIBLE"),
+])
+def test_thresholds_are_strict_and_the_cutoff_inclusive(
+    spark, velocity_, zscore, speed, total, flag, text
+):
+    row = scoring.score(features(spark, [(velocity_, zscore, speed)])).first()
+    assert (row["fraud_score"], row["is_flagged"], row["reasons"]) == (total, flag, text)
+
+
+def test_thresholds_can_be_set(spark):
+    cfg = ScoringConfig.from_env({"FRAUD_VELOCITY_THRESHOLD": "1", "FRAUD_SCORE_CUTOFF": "40"})
+    row = scoring.score(features(spark, [(2, 0.0, 0.0)]), cfg).first()
+    assert (row["fraud_score"], row["is_flagged"]) == (40, True)
+
+
+def test_zscore_without_average_is_zero_and_nan_amount_fires(spark):
+    df = spark.createDataFrame(
+        [("a", 19.0, 10.0), ("b", 5.0, 0.0), ("c", 5.0, None), ("d", float("nan"), 10.0)],
+        "id string, amount double, avg_amount_30d double")
+    scored = df.select("id", rules.amount_zscore(F.col("amount"), F.col("avg_amount_30d")).alias("z"))
+    got = {r["id"]: r["z"] for r in scored.collect()}
+    assert got["a"] == pytest.approx(3.0) and got["b"] == 0.0 and got["c"] == 0.0
+    assert math.isnan(got["d"])
+    fired = scored.filter(rules.score_zscore(F.col("z")) > 0)
+    assert "d" in [r["id"] for r in fired.collect()]
+
+
+def test_dimensions_with_copies_do_not_fan_out(spark):
+    txns = spark.createDataFrame([("t1", "u"), ("t2", "v")], "transaction_id string, user_id string")
+    customers = spark.createDataFrame(
+        [("u", "BASIC", 1.0, 9.0), ("u", "PREMIUM", 2.0, 9.0)],
+        "user_id string, plan string, avg_amount_30d double, credit_limit double")
+    joined = enrich.fill_defaults(enrich.enrich_customers(txns, customers))
+    assert rows(joined, "transaction_id", "plan", "avg_amount_30d") == [
+        ("t1", "PREMIUM", 2.0), ("t2", "unknown", 0.0)]
+    risk = spark.createDataFrame(
+        [("u", 1.0, 1.0, T0), ("u", 2.0, 2.0, T0 + timedelta(hours=1))],
+        "user_id string, last_merchant_lat double, last_merchant_lon double, updated_at timestamp")
+    assert rows(enrich.enrich_risk(txns, risk), "transaction_id", "last_merchant_lat") == [
+        ("t1", 2.0), ("t2", None)]
+
+
+def velocity_model(events, seconds):
+    return {
+        i: sum(1 for _, u2, t2 in events if u2 == u and timedelta(0) <= t - t2 <= timedelta(seconds=seconds))
+        for i, u, t in events
+    }
+
+
+@pytest.mark.parametrize("seconds", [1, 60, 300])
+def test_trailing_velocity_against_brute_force(spark, seconds):
+    offsets = [0, 0, 0, 1, 59.999999, 60, 60.000001, 299, 300, 300.000001, 599, 600, 601, 1200]
+    events = [(i, f"u{i % 2}", T0 + timedelta(seconds=s)) for i, s in enumerate(offsets * 2)]
+    df = spark.createDataFrame(events, "id long, user_id string, event_time timestamp")
+    for policy in (JoinPolicy(), JoinPolicy(max_broadcast_rows=0, hot_rows=2)):
+        got = velocity.velocity_trailing(df, seconds, policy).collect()
+        assert {r["id"]: r["velocity_5min"] for r in got} == velocity_model(events, seconds)
+
+
+def test_snapshot_velocity_counts_to_the_newest_event(spark):
+    times = [0, 0, 100, 399.999999, 400, 700]
+    events = [(i, "u", T0 + timedelta(seconds=s)) for i, s in enumerate(times)]
+    events += [(100 + i, "v", T0 - timedelta(days=i)) for i in range(3)]
+    df = spark.createDataFrame(events, "id long, user_id string, event_time timestamp")
+    expected = {**{i: 2 for i in range(6)}, **{100 + i: 1 for i in range(3)}}
+    for policy in (JoinPolicy(), JoinPolicy(max_broadcast_rows=0, hot_rows=2)):
+        got = velocity.velocity_snapshot(df, 300, policy).collect()
+        assert {r["id"]: r["velocity_5min"] for r in got} == expected
+
+
+def test_score_is_the_same_on_both_join_paths(spark, sf):
+    from tillwatch.sources import events
+
+    txn = events.transactions(spark, sf)
+    customers, risk = events.customers(txn), events.risk(txn)
+    cfg = ScoringConfig(velocity_seconds=86_400)
+    small = scoring.score_transactions(txn, customers, risk, cfg)
+    large = scoring.score_transactions(
+        txn, customers, risk, cfg, JoinPolicy(max_broadcast_rows=0, hot_rows=20))
+    columns = ["transaction_id", "velocity_5min", "fraud_score", "is_flagged", "reasons", "plan"]
+    got = rows(small, *columns)
+    assert got == rows(large, *columns)
+    assert {r[2] for r in got} <= {0, 30, 40, 60, 70, 100}
+    assert all(r[3] == (r[4].count(",") >= 1) for r in got)

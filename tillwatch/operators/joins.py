@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.config import DEFAULT_JOIN, JoinPolicy
+from tillwatch.schemas import MESSAGE_KEY
+
+# Facts without a key need no partner, so any large number spreads them.
+NULL_SALTS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -26,14 +30,10 @@ class Size:
 
 
 def _row_bytes(schema: T.StructType) -> Column:
-    """Approximate width of one row: text and binary by length, the rest 16 bytes."""
-    width = F.lit(0).cast("long")
-    for field in schema:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-        else:
-            width = width + 16
-    return width
+    """Approximate width of one row: 16 bytes per column plus the length of texts."""
+    texts = [f.name for f in schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lengths = [f"coalesce(octet_length(`{name}`), 0)" for name in texts]
+    return F.expr(" + ".join([f"{16 * len(schema)}L", *lengths]))
 
 
 def measure(df: DataFrame) -> Size:
@@ -67,22 +67,30 @@ def hot_keys(facts: DataFrame, keys: list[str], policy: JoinPolicy = DEFAULT_JOI
     )
 
 
+def _spread_over(facts: DataFrame) -> list[str]:
+    """Columns that tell the facts of one key apart: the message identity where there is
+    one, so that no other column has to be read for the salt."""
+    identity = [c for c in MESSAGE_KEY if c in facts.columns]
+    return identity if len(identity) == len(MESSAGE_KEY) else facts.columns
+
+
 def salted_left_join(
     facts: DataFrame, unique: DataFrame, keys: list[str], policy: JoinPolicy = DEFAULT_JOIN
 ) -> DataFrame:
     """Shuffled left join with the hot keys spread. Only the rows of hot keys are
-    repeated on the unique side, once per salt."""
+    repeated on the unique side, once per salt. Facts with a NULL key match nothing
+    and are spread over all tasks."""
     hot = F.broadcast(hot_keys(facts, keys, policy))
-    salt = F.pmod(F.xxhash64(*facts.columns), F.col("_salts")).cast("int")
+    no_key = F.expr(" OR ".join(f"{key} IS NULL" for key in keys))
+    salts = F.when(no_key, F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
     spread = (
         facts.join(hot, keys, "left")
-        .withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_salts")
+        .withColumn("_salt", F.pmod(F.xxhash64(*_spread_over(facts)), salts).cast("int"))
+        .drop("_salts")
     )
     repeated = (
         unique.join(hot, keys, "left")
-        .withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-        )
+        .withColumn("_salt", F.expr("explode(sequence(0, coalesce(_salts, 1) - 1))"))
         .drop("_salts")
     )
     return spread.join(repeated, [*keys, "_salt"], "left").drop("_salt")

@@ -63,8 +63,9 @@ def score_transactions(
     joined once: not moved at all when that table may be broadcast, shuffled once with
     hot users spread when not.
     """
-    features = user_features(velocity_per_user(txns, cfg.velocity_seconds), customers, risk)
     size = user_features_size(txns, customers)
+    per_user = velocity_per_user(txns, cfg.velocity_seconds, size, policy)
+    features = user_features(per_user, customers, risk)
     return score_enriched(left_join_unique(txns, features, ["user_id"], policy, size), cfg)
 
 

@@ -1,17 +1,17 @@
 """Transactions per user within a time span, as batch operators.
 
-Rows are first counted per (user, event time), which combines map-side, so a hot user
-is reduced before any grouping by user; no window runs over a user's whole history.
+No window runs over a user's whole history: what is grouped by user alone has been
+reduced map-side, and what is not is first counted per (user, event time).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.config import DEFAULT_JOIN, JoinPolicy
 from tillwatch.operators.enrich import user_features_size
-from tillwatch.operators.joins import left_join_unique, salted_left_join
+from tillwatch.operators.joins import Size, left_join_unique, salted_left_join
 
 MICROS = 1_000_000
 
@@ -20,23 +20,45 @@ def _counts(txns: DataFrame) -> DataFrame:
     return txns.groupBy("user_id", "event_time").agg(F.count(F.lit(1)).alias("_n"))
 
 
-def velocity_per_user(txns: DataFrame, seconds: int = 300) -> DataFrame:
+def _slot(span: int) -> Column:
+    return F.expr(f"unix_micros(event_time) div {span}")
+
+
+def velocity_per_user(
+    txns: DataFrame, seconds: int, size: Size, policy: JoinPolicy = DEFAULT_JOIN
+) -> DataFrame:
     """(user_id, velocity_5min): rows of each user no older than ``seconds`` before the
-    user's newest event, both ends included.
+    user's newest event, both ends included. ``size`` bounds one row per user."""
+    if size.fits(policy):
+        return _by_known_newest(txns, seconds)
+    return _by_newest_slots(txns, seconds)
 
-    Those rows lie in the user's newest two time slots of that length, so everything
-    older is cut by rank before the shuffle by user.
-    """
+
+def _by_known_newest(txns: DataFrame, seconds: int) -> DataFrame:
+    """Send the newest time of every user to the rows, so only rows in the span are
+    left to be grouped."""
+    newest = txns.groupBy("user_id").agg(F.max("event_time").alias("_newest"))
+    start = F.col("_newest") - F.expr(f"INTERVAL {seconds} SECONDS")
+    return (
+        txns.select("user_id", "event_time").join(F.broadcast(newest), "user_id")
+        .filter(F.col("event_time") >= start)
+        .groupBy("user_id").agg(F.count(F.lit(1)).alias("velocity_5min"))
+    )
+
+
+def _by_newest_slots(txns: DataFrame, seconds: int) -> DataFrame:
+    """The rows in the span lie in the user's newest two time slots of its length, so
+    everything older is cut by rank before the shuffle by user. A hot user arrives as
+    counts per event time."""
     span = seconds * MICROS
-    counts = _counts(txns).withColumn("_t", F.unix_micros("event_time"))
-    slots = Window.partitionBy("user_id").orderBy(F.floor(F.col("_t") / F.lit(span)).desc())
-    newest = (
-        counts.withColumn("_slot_rank", F.dense_rank().over(slots)).filter("_slot_rank <= 2")
+    slots = Window.partitionBy("user_id").orderBy(_slot(span).desc())
+    recent = (
+        _counts(txns).withColumn("_slot_rank", F.dense_rank().over(slots))
+        .filter("_slot_rank <= 2").withColumn("_t", F.unix_micros("event_time"))
     )
-    anchor = F.max("_t").over(Window.partitionBy("user_id"))
+    newest = F.max("_t").over(Window.partitionBy("user_id"))
     return (
-        newest.withColumn("_anchor", anchor)
-        .filter(F.col("_t") >= F.col("_anchor") - span)
+        recent.withColumn("_newest", newest).filter(F.col("_t") >= F.col("_newest") - span)
         .groupBy("user_id").agg(F.sum("_n").alias("velocity_5min"))
     )
 
@@ -46,9 +68,9 @@ def velocity_snapshot(
 ) -> DataFrame:
     """The streaming rule with all input as one batch: the user's count is stamped on
     every row of the user."""
-    return left_join_unique(
-        txns, velocity_per_user(txns, seconds), ["user_id"], policy, user_features_size(txns)
-    )
+    size = user_features_size(txns)
+    per_user = velocity_per_user(txns, seconds, size, policy)
+    return left_join_unique(txns, per_user, ["user_id"], policy, size)
 
 
 def velocity_trailing(
@@ -61,13 +83,10 @@ def velocity_trailing(
     events spread over as many tasks as they have slots.
     """
     span = seconds * MICROS
-    micros = F.unix_micros("event_time")
-    slot = F.floor(micros / F.lit(span))
-    counts = _counts(txns)
-    placed = counts.select(
+    placed = _counts(txns).select(
         "user_id", "event_time", "_n",
-        micros.alias("_t"),
-        F.posexplode(F.array(slot, slot + 1)).alias("_is_history", "_slot"),
+        F.unix_micros("event_time").alias("_t"),
+        F.posexplode(F.array(_slot(span), _slot(span) + 1)).alias("_is_history", "_slot"),
     )
     trailing = (
         Window.partitionBy("user_id", "_slot").orderBy("_t").rangeBetween(-span, Window.currentRow)

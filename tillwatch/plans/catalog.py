@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillwatch.config import DEFAULT_SCORING, ScoringConfig
 from tillwatch.functions import geo, payloads, rules
@@ -42,17 +41,12 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def shown(df: DataFrame) -> DataFrame:
     """Timestamps as text with microseconds, dates as text, doubles to six decimals."""
-    columns = []
-    for f in df.schema:
-        column = F.col(f.name)
-        if isinstance(f.dataType, T.TimestampType):
-            column = F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        elif isinstance(f.dataType, T.DateType):
-            column = F.date_format(f.name, "yyyy-MM-dd")
-        elif isinstance(f.dataType, T.DoubleType):
-            column = F.round(f.name, 6)
-        columns.append(column.alias(f.name))
-    return df.select(*columns)
+    texts = {
+        "timestamp": "date_format({0}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS {0}",
+        "date": "date_format({0}, 'yyyy-MM-dd') AS {0}",
+        "double": "round({0}, 6) AS {0}",
+    }
+    return df.selectExpr(*[texts.get(kind, "{0}").format(name) for name, kind in df.dtypes])
 
 
 def txns(spark: SparkSession, sf: str) -> DataFrame:

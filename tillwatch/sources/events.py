@@ -30,58 +30,53 @@ def at(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
-def _coordinate(step: int, cells: int, half: int) -> Column:
-    cell = (F.col("event_id") * step) % cells
-    return F.when(F.col("event_id") % 50 != 0, cell / F.lit(100.0) - half)
-
-
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per event, with the identity of the message that carried it."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
-    merchant = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
-        F.col("event_id").cast("string").alias("transaction_id"),
-        F.format_string("user_%04d", "user_id").alias("user_id"),
-        F.col("value").alias("amount"),
-        F.format_string("merchant_%04d", merchant).alias("merchant_id"),
-        _coordinate(7919, 18000, 90).alias("merchant_lat"),
-        _coordinate(104729, 36000, 180).alias("merchant_lon"),
-        F.col("event_type").alias("status"),
-        F.col("ts").alias("event_time"),
-        (F.col("ts") + F.expr("INTERVAL 2 SECONDS")).alias("ingest_time"),
-        F.lit(RAW_TOPIC).alias("k_topic"),
-        (F.col("event_id") % 6).alias("k_partition"),
-        F.expr("event_id div 6").alias("k_offset"),
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "CAST(event_id AS STRING) AS transaction_id",
+        "format_string('user_%04d', user_id) AS user_id",
+        "value AS amount",
+        "format_string('merchant_%04d', CAST(get_json_object(props, '$.k') AS INT)) AS merchant_id",
+        "IF(event_id % 50 != 0, ((event_id * 7919) % 18000) / 100.0D - 90, NULL) AS merchant_lat",
+        "IF(event_id % 50 != 0, ((event_id * 104729) % 36000) / 100.0D - 180, NULL) AS merchant_lon",
+        "event_type AS status",
+        "ts AS event_time",
+        "ts + INTERVAL 2 SECONDS AS ingest_time",
+        f"'{RAW_TOPIC}' AS k_topic",
+        "event_id % 6 AS k_partition",
+        "event_id div 6 AS k_offset",
     )
 
 
 def customers(txns: DataFrame) -> DataFrame:
     """Customers with their average spend; every 25th user is left out so that some
     transactions find none."""
-    number = F.substring_index("user_id", "_", -1).cast("long") + 1
-    plan = F.element_at(
-        F.array(F.lit("PREMIUM"), F.lit("BASIC"), F.lit("PREPAID")), (number % 3 + 1).cast("int")
-    )
+    number = "CAST(substring_index(user_id, '_', -1) AS BIGINT) + 1"
     return (
-        txns.filter(number % 25 != 0).groupBy("user_id").agg(F.avg("amount").alias("avg_amount_30d"))
-        .select("user_id", plan.alias("plan"), "avg_amount_30d",
-                (F.col("avg_amount_30d") * 10).alias("credit_limit"))
+        txns.filter(f"({number}) % 25 != 0")
+        .groupBy("user_id").agg(F.avg("amount").alias("avg_amount_30d"))
+        .selectExpr(
+            "user_id",
+            f"elt(CAST(({number}) % 3 + 1 AS INT), 'PREMIUM', 'BASIC', 'PREPAID') AS plan",
+            "avg_amount_30d",
+            "avg_amount_30d * 10 AS credit_limit",
+        )
     )
 
 
 def risk(txns: DataFrame) -> DataFrame:
     """Where each user was last seen before the cutoff."""
-    before = txns.filter(F.col("event_time") < at(RISK_CUTOFF))
+    before = txns.filter(f"event_time < TIMESTAMP '{RISK_CUTOFF}'")
     newest = latest_by_key(before, ["user_id"], ["event_time", F.col("transaction_id").asc()])
-    missing = F.lit(None).cast("double")
-    return newest.select(
+    return newest.selectExpr(
         "user_id",
-        missing.alias("avg_amount_30d"), missing.alias("stddev_amount"),
-        missing.alias("avg_velocity_1h"),
-        F.col("merchant_lat").alias("last_merchant_lat"),
-        F.col("merchant_lon").alias("last_merchant_lon"),
-        F.col("event_time").alias("updated_at"),
+        "CAST(NULL AS DOUBLE) AS avg_amount_30d",
+        "CAST(NULL AS DOUBLE) AS stddev_amount",
+        "CAST(NULL AS DOUBLE) AS avg_velocity_1h",
+        "merchant_lat AS last_merchant_lat",
+        "merchant_lon AS last_merchant_lon",
+        "event_time AS updated_at",
     )
 
 
