@@ -127,3 +127,13 @@ SERVING_RISK_PROFILES = T.StructType([
 
 # Message identity: one row of the history table per offset.
 MESSAGE_KEY = ["k_topic", "k_partition", "k_offset"]
+
+# One row per scored micro-batch, written after all its sinks.
+LEDGER = T.StructType([
+    T.StructField("query_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("processed_at", T.TimestampType()),
+    T.StructField("total", T.LongType()),
+    T.StructField("flagged", T.LongType()),
+    T.StructField("geo_hits", T.LongType()),
+])

@@ -20,7 +20,7 @@ from tillwatch.operators.joins import Size, left_join_unique, measure
 from tillwatch.operators.profiles import last_locations
 from tillwatch.operators.scoring import score_enriched
 from tillwatch.operators.stats import batch_stats
-from tillwatch.schemas import SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS, VELOCITY_OUT
+from tillwatch.schemas import LEDGER, SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS, VELOCITY_OUT
 from tillwatch.sources.tables import Refreshed
 from tillwatch.streaming.sinks import (
     Batch, Target, conform, serving_fraud_scores, serving_transactions, write_batch,
@@ -30,7 +30,6 @@ from tillwatch.streaming.state import batch_rows, batch_users, velocity_stateful
 log = logging.getLogger(__name__)
 
 TRIGGER = "10 seconds"
-LEDGER = "query_id string, batch_id long, processed_at timestamp, total long, flagged long, geo_hits long"
 
 
 @dataclass(frozen=True)
