@@ -47,48 +47,74 @@ def compact(
     spark: SparkSession,
     path: str,
     column: str = "event_date",
-    cluster_by: tuple[str, ...] = ("event_time",),
+    sort_by: tuple[str, ...] = ("event_time",),
     target_bytes: int = TARGET_BYTES,
 ) -> int:
     """Rewrite the small files of a partitioned Parquet table into files of about
     ``target_bytes``; returns the number of partitions rewritten.
 
-    Rows are range-partitioned by partition value and ``cluster_by``, so a large
-    partition is spread over many tasks and each file covers a narrow range. The new
-    files are written to the shared scratch folder and compared with the old rows
-    before they replace the partitions, so a lost executor or driver leaves either the
-    old files or a complete copy to replace them with. Partitions are taken in runs of
-    at most ``PARTITIONS_PER_RUN`` until none is left.
+    Each partition gets as many tasks as it needs files, and its rows are dealt to them
+    by hash, so a partition that holds most of the table is written by many tasks. The
+    new files go to the shared scratch folder and are compared with the old rows before
+    they replace the partitions: a lost executor or driver leaves either the old files
+    or a complete copy to replace them with. Plain files have no transactions, so run
+    this while no writer appends to the table; files that do appear meanwhile stop it
+    before anything is replaced. Partitions are taken in runs of at most
+    ``PARTITIONS_PER_RUN`` until none is left.
     """
-    listing = list_files(spark, path)
-    todo = partitions_to_compact(listing, column, target_bytes).orderBy(column)
     done = ""
     rewritten = 0
     while True:
-        run = todo.filter(F.col(column) > done).limit(PARTITIONS_PER_RUN).collect()
+        todo = partitions_to_compact(list_files(spark, path), column, target_bytes)
+        run = todo.filter(F.col(column) > done).orderBy(column).limit(PARTITIONS_PER_RUN).collect()
         if not run:
             return rewritten
-        values = [row[column] for row in run]
-        files = sum(row["needed"] for row in run)
+        names = [row[column] for row in run]
         table = spark.read.parquet(path)
-        text = F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-        old = table.filter(text.isin(values))
+        old = table.filter(_partition_text(column).isin(names))
         staged = scratch_path(spark, "compact")
-        keys = [column, *[c for c in cluster_by if c in old.columns]]
         (
-            old.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+            _dealt(spark, old, column, {row[column]: row["needed"] for row in run})
+            .sortWithinPartitions(column, *[c for c in sort_by if c in old.columns])
             .write.partitionBy(column).parquet(staged)
         )
         new = spark.read.schema(table.schema).parquet(staged)
         if fingerprint(new) != fingerprint(old):
             raise RuntimeError(f"rewritten rows differ from the table, kept in {staged}")
+        now = partition_files(list_files(spark, path), column).filter(F.col(column).isin(names))
+        if {(r[column], r["files"], r["bytes"]) for r in now.collect()} != {
+            (r[column], r["files"], r["bytes"]) for r in run
+        }:
+            raise RuntimeError("files were added during compaction, nothing was replaced")
         with _one_task_per_file(spark, 2 * target_bytes):
             (
                 new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(column).parquet(path)
             )
-        rewritten += len(values)
-        done = values[-1]
+        spark.catalog.refreshByPath(path)
+        rewritten += len(run)
+        done = run[-1][column]
+
+
+def _partition_text(column: str) -> Column:
+    """The partition value as it stands in the folder name."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+
+
+def _dealt(spark: SparkSession, df: DataFrame, column: str, needed: dict[str, int]) -> DataFrame:
+    """Rows dealt to tasks: ``needed[value]`` tasks for the rows of each partition value."""
+    firsts, tasks = [], 0
+    for value, count in needed.items():
+        firsts.append((value, tasks, count))
+        tasks += count
+    places = spark.createDataFrame(firsts, "_value string, _first int, _count int")
+    dealt = F.col("_first") + F.pmod(F.xxhash64(*df.columns), F.col("_count")).cast("int")
+    return (
+        df.withColumn("_value", _partition_text(column))
+        .join(F.broadcast(places), "_value")
+        .repartitionById(tasks, dealt)
+        .select(*df.columns)
+    )
 
 
 @contextmanager
