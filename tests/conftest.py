@@ -20,7 +20,6 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
-        spark__sql__streaming__noDataMicroBatches__enabled="false",
         spark__driver__memory="6g",
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwatch.session import scratch_path
+from tillwatch.session import scratch_path, settings
 
 TARGET_BYTES = 134_217_728
 PARTITIONS_PER_RUN = 366
@@ -86,7 +83,7 @@ def compact(
             (r[column], r["files"], r["bytes"]) for r in run
         }:
             raise RuntimeError("files were added during compaction, nothing was replaced")
-        with _one_task_per_file(spark, 2 * target_bytes):
+        with settings(spark, _one_task_per_file(2 * target_bytes)):
             (
                 new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy(column).parquet(path)
@@ -117,22 +114,13 @@ def _dealt(spark: SparkSession, df: DataFrame, column: str, needed: dict[str, in
     )
 
 
-@contextmanager
-def _one_task_per_file(spark: SparkSession, max_bytes: int) -> Iterator[None]:
+def _one_task_per_file(max_bytes: int) -> dict[str, str]:
     """Read settings that neither cut nor join files, so a copy keeps their layout."""
-    settings = {
+    return {
         "spark.sql.files.maxPartitionBytes": str(max_bytes),
         "spark.sql.files.openCostInBytes": str(max_bytes),
         "spark.sql.files.minPartitionNum": "1",
     }
-    former = {key: spark.conf.get(key, None) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in former.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def fingerprint(df: DataFrame) -> tuple[int, int]:

@@ -17,6 +17,7 @@ from tillwatch.operators import (
     enrich, ingest, maintenance, merge, profiles, quality, scoring, serving, stats, velocity,
 )
 from tillwatch.operators.joins import latest_by_key, left_join_unique
+from tillwatch.plans import streams
 from tillwatch.schemas import MESSAGE_KEY
 from tillwatch.sources import events
 from tillwatch.sources.events import AS_OF, AS_OF_HOUR, at
@@ -553,3 +554,49 @@ def compact_table(spark: SparkSession, sf: str) -> DataFrame:
     size = (F.col("transaction_id").cast("long") % 1000 + 1) * 1000
     listing = txns(spark, sf).select(_file_path().alias("path"), size.alias("bytes"))
     return maintenance.partitions_to_compact(listing, "event_date", 1_000_000)
+
+
+# Streaming jobs ------------------------------------------------------------------
+
+
+@query("velocity_5min")
+def velocity_5min(spark: SparkSession, sf: str) -> DataFrame:
+    return _velocity(streams.run_velocity(spark, sf))
+
+
+@query("velocity_5min_24h")
+def velocity_5min_24h(spark: SparkSession, sf: str) -> DataFrame:
+    return _velocity(streams.run_velocity(spark, sf, DAY_SECONDS))
+
+
+@query("hot_fanout")
+def hot_fanout(spark: SparkSession, sf: str) -> DataFrame:
+    rows = streams.read_scored(spark, streams.run_hot(spark, sf, DAY_SCORING))
+    return rows.select(
+        "transaction_id", "user_id", "fraud_score", "is_flagged", "reasons", *MESSAGE_KEY
+    )
+
+
+@query("hot_ledger")
+def hot_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    ledger = spark.read.parquet(streams.run_hot(spark, sf).ledger.location)
+    return stats.running_totals(ledger).agg(
+        F.max("acc_total").alias("acc_total"), F.max("acc_flagged").alias("acc_flagged"),
+        F.max("acc_geo_hits").alias("acc_geo_hits"),
+    )
+
+
+@query("dlq_stream")
+def dlq_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return streams.run_dlq(spark, sf).select(
+        F.get_json_object("value", "$.reason").alias("reason"),
+        F.get_json_object("value", "$.partition").cast("long").alias("partition"),
+        F.get_json_object("value", "$.offset").cast("long").alias("offset"),
+    )
+
+
+@query("lake_stream")
+def lake_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return shown(streams.run_lake(spark, sf).select(
+        "event_date", "transaction_id", "amount", "fraud_score", *MESSAGE_KEY
+    ))

@@ -46,11 +46,12 @@ risk AS (
 )"""
 
 
-def _snapshot(seconds: int) -> str:
+def _snapshot(seconds: int, valid: str = "amount IS NOT NULL") -> str:
     return f"""
 velocity AS (
   SELECT user_id, count(*) AS velocity_5min
-  FROM (SELECT user_id, event_time, max(event_time) OVER (PARTITION BY user_id) AS newest FROM txn)
+  FROM (SELECT user_id, event_time, max(event_time) OVER (PARTITION BY user_id) AS newest
+        FROM txn WHERE {valid})
   WHERE event_time >= newest - INTERVAL {seconds} SECOND
   GROUP BY user_id
 )"""
@@ -84,14 +85,15 @@ priced AS (
 )"""
 
 
-def _scored(seconds: int = 300) -> str:
-    return ",".join([_TXN, _CUST, _RISK, _snapshot(seconds), _DISTANCE, _PRICED]) + """,
+def _scored(seconds: int = 300, valid: str = "amount IS NOT NULL") -> str:
+    return ",".join([_TXN, _CUST, _RISK, _snapshot(seconds, valid), _DISTANCE, _PRICED]) + f""",
 points AS (
   SELECT p.*, v.velocity_5min, s.geo_speed_kmh,
          CASE WHEN v.velocity_5min > 5 THEN 40 ELSE 0 END AS score_velocity,
          CASE WHEN p.amount_zscore > 3 THEN 30 ELSE 0 END AS score_zscore,
          CASE WHEN s.geo_speed_kmh > 500 THEN 30 ELSE 0 END AS score_geo
   FROM priced p JOIN velocity v USING (user_id) JOIN speed s USING (transaction_id)
+  WHERE p.{valid}
 ),
 scored AS (
   SELECT *, score_velocity + score_zscore + score_geo AS fraud_score,
@@ -124,6 +126,11 @@ LOCATED = _with(_TXN, _RISK, _DISTANCE)
 SCORED = "WITH " + _scored()
 SCORED_DAY = "WITH " + _scored(86_400)
 
+# A stream rejects amounts that are not positive before it counts and scores. Its times
+# have the milliseconds of the JSON text in the scored topic.
+STREAMED = "WITH " + _scored(300, "amount > 0")
+STREAMED_DAY = "WITH " + _scored(86_400, "amount > 0")
+
 _KIND = """
 CASE event_id % 101
   WHEN 0 THEN 'missing_transaction_id' WHEN 1 THEN 'missing_user_id'
@@ -419,4 +426,25 @@ SELECT strftime(event_time, '%Y-%m-%d') AS event_date, count(*) AS files,
        CAST(greatest(ceil(sum((event_id % 1000 + 1) * 1000) / 1000000.0), 1) AS INTEGER) AS needed
 FROM txn GROUP BY 1
 HAVING count(*) > greatest(ceil(sum((event_id % 1000 + 1) * 1000) / 1000000.0), 1)""",
+    "velocity_5min": f"""{_with(_TXN, _snapshot(300, 'amount > 0'))}
+SELECT transaction_id, user_id, velocity_5min FROM txn JOIN velocity USING (user_id)
+WHERE amount > 0""",
+    "velocity_5min_24h": f"""{_with(_TXN, _snapshot(86400, 'amount > 0'))}
+SELECT transaction_id, user_id, velocity_5min FROM txn JOIN velocity USING (user_id)
+WHERE amount > 0""",
+    "hot_fanout": f"""{STREAMED_DAY}
+SELECT transaction_id, user_id, fraud_score, is_flagged, reasons, k_topic, k_partition, k_offset
+FROM scored""",
+    "hot_ledger": f"""{STREAMED}
+SELECT count(*) AS acc_total, count(*) FILTER (is_flagged) AS acc_flagged,
+       count(*) FILTER (score_geo > 0) AS acc_geo_hits
+FROM scored""",
+    "dlq_stream": f"""{TXN}
+SELECT * FROM (
+  SELECT {_KIND} AS reason, k_partition AS "partition", k_offset AS "offset" FROM txn)
+WHERE reason <> 'ok'""",
+    "lake_stream": f"""{STREAMED}
+SELECT strftime(event_time, '%Y-%m-%d') AS event_date, transaction_id, {_six('amount')},
+       fraud_score, k_topic, k_partition, k_offset
+FROM scored""",
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,19 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block."""
+    former = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in former.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``, which every executor of a
     cluster can reach. Only a session on ``local[...]`` may go without that setting."""

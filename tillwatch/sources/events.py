@@ -33,7 +33,19 @@ def at(text: str) -> Column:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per event, with the identity of the message that carried it."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").selectExpr(
+    return _from_events(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
+
+
+def message_stream(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
+    """The events as a stream of raw messages."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # A pattern, because a stream takes folders or patterns but no single file.
+    events = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events*.parquet")
+    return messages(_from_events(events), corrupt)
+
+
+def _from_events(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
         "CAST(event_id AS STRING) AS transaction_id",
         "format_string('user_%04d', user_id) AS user_id",
         "value AS amount",

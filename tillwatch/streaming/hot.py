@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tillwatch.config import DEFAULT_JOIN, DEFAULT_SCORING, JoinPolicy, ScoringConfig
 from tillwatch.functions import payloads
@@ -21,6 +21,7 @@ from tillwatch.operators.profiles import last_locations
 from tillwatch.operators.scoring import score_enriched
 from tillwatch.operators.stats import batch_stats
 from tillwatch.schemas import LEDGER, SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS, VELOCITY_OUT
+from tillwatch.session import settings
 from tillwatch.sources.tables import Refreshed
 from tillwatch.streaming.sinks import (
     Batch, Target, conform, serving_fraud_scores, serving_transactions, write_batch,
@@ -144,13 +145,22 @@ def start_hot(
         query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         process_batch(df, Batch(query, number), ctx)
 
-    return (
+    return start_stateful(
         tagged.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", f"{checkpoint}/main")
-        .trigger(**(trigger or {"processingTime": TRIGGER})).start()
+        .option("checkpointLocation", f"{checkpoint}/main"),
+        tagged.sparkSession, trigger or {"processingTime": TRIGGER},
     )
 
 
+def start_stateful(writer: DataStreamWriter, spark: SparkSession, trigger: dict) -> StreamingQuery:
+    """Start a query with idle timeouts. A run over the available data would go on with
+    empty batches to time out the state, so it runs without those and ends."""
+    empty_batches = "spark.sql.streaming.noDataMicroBatches.enabled"
+    values = {empty_batches: "false"} if trigger.get("availableNow") else {}
+    with settings(spark, values):
+        return writer.trigger(**trigger).start()
+
+
 def start_dlq(
     messages: DataFrame, target: Target, checkpoint: str, trigger: dict | None = None,
     strict_parse: bool = False,
