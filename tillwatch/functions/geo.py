@@ -15,9 +15,11 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     chord = F.pow(F.sin(half_dlat), F.lit(2.0)) + (
         F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_dlon), F.lit(2.0))
     )
-    # Rounding can push the chord of two antipodes just past 1, where sqrt(1 - a) is NaN.
-    chord = F.when(chord.isNotNull(), F.least(F.greatest(chord, F.lit(0.0)), F.lit(1.0)))
-    angle = F.lit(2.0) * F.atan2(F.sqrt(chord), F.sqrt(F.lit(1.0) - chord))
+    # Rounding can push the chord of antipodes just past 1, and a latitude beyond the
+    # poles can make it negative; neither may end in a NaN.
+    angle = F.lit(2.0) * F.atan2(
+        F.sqrt(F.greatest(chord, F.lit(0.0))), F.sqrt(F.abs(F.lit(1.0) - chord))
+    )
     return F.coalesce(F.lit(EARTH_RADIUS_KM) * angle, F.lit(0.0))
 
 

@@ -23,13 +23,17 @@ def project_meta(messages: DataFrame) -> DataFrame:
 
 def parse_raw(messages: DataFrame, strict_parse: bool = False) -> DataFrame:
     """Add the parsed struct ``j``. Unreadable text gives a struct of NULLs; with
-    ``strict_parse`` that text is also kept in ``_corrupt`` so it can be told apart."""
-    if not strict_parse:
-        return messages.withColumn("j", F.from_json("raw_json", RAW_TXN))
-    schema = T.StructType([*RAW_TXN.fields, T.StructField(_CORRUPT, T.StringType())])
-    return messages.withColumn(
-        "j", F.from_json("raw_json", schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    )
+    ``strict_parse`` that text is also kept in ``_corrupt`` so it can be told apart.
+
+    The struct passes through an array of one. Filters on its fields stop there instead
+    of being pushed into the parse, which would then run once per field they mention.
+    """
+    schema, options = RAW_TXN, {}
+    if strict_parse:
+        schema = T.StructType([*RAW_TXN.fields, T.StructField(_CORRUPT, T.StringType())])
+        options = {"columnNameOfCorruptRecord": _CORRUPT}
+    parsed = F.from_json("raw_json", schema, options)
+    return messages.select("*", F.explode(F.array(parsed)).alias("j"))
 
 
 def expand_txn(parsed: DataFrame, ingest_time: Column | None = None) -> DataFrame:

@@ -122,14 +122,14 @@ def split_good_bad(spark: SparkSession, sf: str) -> DataFrame:
 @query("emit_dlq")
 def emit_dlq(spark: SparkSession, sf: str) -> DataFrame:
     _, bad = ingest.split(tagged(spark, sf))
-    value = payloads.dlq_payload(bad)
-    return value.select(
-        F.get_json_object("value", "$.reason").alias("reason"),
-        F.get_json_object("value", "$.topic").alias("topic"),
-        F.get_json_object("value", "$.partition").cast("long").alias("partition"),
-        F.get_json_object("value", "$.offset").cast("long").alias("offset"),
-        F.get_json_object("value", "$.ingest_time").alias("ingest_time"),
-        F.get_json_object("value", "$.raw_json").isNotNull().alias("has_text"),
+    return _dead_letters(payloads.dlq_payload(bad))
+
+
+def _dead_letters(values: DataFrame) -> DataFrame:
+    names = ["reason", "topic", "partition", "offset", "ingest_time", "raw_json"]
+    return values.select(F.json_tuple("value", *names).alias(*names)).select(
+        "reason", "topic", F.col("partition").cast("long"), F.col("offset").cast("long"),
+        "ingest_time", F.col("raw_json").isNotNull().alias("has_text"),
     )
 
 
@@ -140,10 +140,9 @@ def ingest_normalize(spark: SparkSession, sf: str) -> DataFrame:
         "status": F.when(F.col("status") != "view", F.col("status")),
     })
     accepted, _ = ingest.normalize_ingest(requests, at(AS_OF))
+    names = ["user_id", "amount", "merchant_id", "status", "timestamp"]
     fields = accepted.select(
-        F.length("transaction_id").alias("id_length"),
-        *[F.get_json_object("value", f"$.{c}").alias(c)
-          for c in ("user_id", "amount", "merchant_id", "status", "timestamp")],
+        F.length("transaction_id").alias("id_length"), F.json_tuple("value", *names).alias(*names)
     )
     return fields.withColumn("amount", F.round(F.col("amount").cast("double"), 6))
 
@@ -315,14 +314,8 @@ def merge_profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fields(messages: DataFrame, texts: list[str], numbers: list[str]) -> DataFrame:
-    def value(name: str) -> Column:
-        return F.get_json_object("value", f"$.{name}")
-
-    return messages.select(
-        "key",
-        *[value(name).alias(name) for name in texts],
-        *[value(name).cast("double").alias(name) for name in numbers],
-    )
+    columns = messages.select("key", F.json_tuple("value", *texts, *numbers).alias(*texts, *numbers))
+    return columns.withColumns({name: F.col(name).cast("double") for name in numbers})
 
 
 @query("emit_alerts")
@@ -588,11 +581,7 @@ def hot_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("dlq_stream")
 def dlq_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return streams.run_dlq(spark, sf).select(
-        F.get_json_object("value", "$.reason").alias("reason"),
-        F.get_json_object("value", "$.partition").cast("long").alias("partition"),
-        F.get_json_object("value", "$.offset").cast("long").alias("offset"),
-    )
+    return _dead_letters(streams.run_dlq(spark, sf)).select("reason", "partition", "offset")
 
 
 @query("lake_stream")

@@ -3,6 +3,7 @@ until all available data is processed, and the written result read back."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.config import DEFAULT_SCORING, ScoringConfig
@@ -24,7 +25,11 @@ def run_velocity(spark: SparkSession, sf_dir: str, seconds: int = 300) -> DataFr
     out = Target(f"{root}/out")
 
     def on_batch(df: DataFrame, number: int) -> None:
-        sinks.write_batch(state.stamp_velocity(df), out, Batch("velocity", number))
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            sinks.write_batch(state.stamp_velocity(df), out, Batch("velocity", number))
+        finally:
+            df.unpersist()
 
     writer = state.velocity_stateful(good, seconds).writeStream.foreachBatch(on_batch)
     writer = writer.option("checkpointLocation", f"{root}/checkpoint")
