@@ -129,3 +129,13 @@ def test_scoring_does_not_shuffle_the_transactions(spark):
     assert "Exchange hashpartitioning" not in top and "BroadcastHashJoin" in top
 
 
+
+
+def test_a_message_is_parsed_once(spark):
+    """Filters on parsed fields must not repeat the parse."""
+    from tillwatch.operators.ingest import validated
+    from tillwatch.sources import events
+
+    good, bad = validated(events.messages(events.transactions(spark, TESTDATA), corrupt=True))
+    for side in (good, bad, good.select("user_id", "event_time")):
+        assert plan(side).count("from_json(") == 1

@@ -434,8 +434,7 @@ def flag_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stat_cards")
 def stat_cards(spark: SparkSession, sf: str) -> DataFrame:
-    """An hour after the last event, so that there is nothing to show."""
-    return serving.stat_cards(serving.dashboard_stats(scored(spark, sf), at("2024-02-01 00:00:00")))
+    return serving.stat_cards(serving.dashboard_stats(scored(spark, sf), at(AS_OF_HOUR)))
 
 
 @query("top_risky_users")

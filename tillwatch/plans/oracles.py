@@ -352,10 +352,16 @@ day AS (
 )
 SELECT *, round(flagged_count / CAST(nullif(total_transactions, 0) AS DOUBLE) * 100, 1) AS flag_rate
 FROM day""",
-    "stat_cards": f"""{TXN}
-SELECT CAST(count(*) AS VARCHAR) AS total_transactions, '—' AS flagged_count,
-       '—' AS avg_fraud_score, '—' AS flag_rate
-FROM txn WHERE event_time >= TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 1 HOUR""",
+    "stat_cards": f"""{SCORED},
+hour AS (
+  SELECT count(*) AS n, count(*) FILTER (is_flagged) AS f, avg(fraud_score) AS a
+  FROM scored WHERE event_time >= TIMESTAMP '2024-01-30 23:57:13' - INTERVAL 1 HOUR
+)
+SELECT CAST(n AS VARCHAR) AS total_transactions,
+       CASE WHEN n = 0 THEN '—' ELSE CAST(f AS VARCHAR) END AS flagged_count,
+       CASE WHEN n = 0 THEN '—' ELSE printf('%.1f', a) END AS avg_fraud_score,
+       CASE WHEN n = 0 THEN '—' ELSE printf('%.1f', round(100.0 * f / n, 1)) || '%' END AS flag_rate
+FROM hour""",
     "top_risky_users": f"""{SCORED}
 SELECT user_id, count(*) AS flagged_count, max(fraud_score) AS max_score
 FROM alerts WHERE flagged_at >= TIMESTAMP '2024-01-21 00:00:00' - INTERVAL 24 HOUR

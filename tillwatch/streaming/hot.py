@@ -20,7 +20,7 @@ from tillwatch.operators.joins import Size, left_join_unique, measure
 from tillwatch.operators.profiles import last_locations
 from tillwatch.operators.scoring import score_enriched
 from tillwatch.operators.stats import batch_stats
-from tillwatch.schemas import LEDGER, SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS, VELOCITY_OUT
+from tillwatch.schemas import LEDGER, SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS
 from tillwatch.session import settings
 from tillwatch.sources.tables import Refreshed
 from tillwatch.streaming.sinks import (
@@ -65,9 +65,8 @@ def score_batch(tagged: DataFrame, ctx: HotContext, size: Size) -> DataFrame:
     else:
         customers, risk = ctx.customers.get(), ctx.risk.get()
     features = user_features(users, customers, risk)
-    rows = batch_rows(tagged).select(*[c for c in VELOCITY_OUT.fieldNames() if c != "velocity_5min"])
     return score_enriched(
-        left_join_unique(rows, features, ["user_id"], ctx.policy, size), ctx.scoring
+        left_join_unique(batch_rows(tagged), features, ["user_id"], ctx.policy, size), ctx.scoring
     )
 
 
@@ -139,6 +138,7 @@ def start_hot(
 ) -> StreamingQuery:
     """Start the scoring query on a stream of broker messages."""
     good, _ = validated(messages, strict_parse=strict_parse)
+    good = good.drop("raw_json")
     tagged = velocity_stateful(good, ctx.scoring.velocity_seconds, ctx.scoring.idle_ms)
 
     def on_batch(df: DataFrame, number: int) -> None:

@@ -52,6 +52,7 @@ def velocity_stateful(good: DataFrame, seconds: int = 300, idle_ms: int = 600_00
     cut to the last ``seconds`` before the newest of them, the end included; their
     number holds for every row the user has in the micro-batch. A late row is not
     counted but is still delivered. State is dropped after ``idle_ms`` without rows.
+    Drop columns such as ``raw_json`` beforehand when nothing downstream needs them.
     """
     span_us = seconds * 1_000_000
 
@@ -84,7 +85,7 @@ def velocity_stateful(good: DataFrame, seconds: int = 300, idle_ms: int = 600_00
         )
         .withColumn("_kind", F.lit(USER))
     )
-    payload = [f for f in VELOCITY_OUT if f.name != "velocity_5min"]
+    payload = [f for f in VELOCITY_OUT if f.name in good.columns]
     rows = good.select(*[F.col(f.name).cast(f.dataType) for f in payload], F.lit(ROW).alias("_kind"))
     return rows.unionByName(per_user, allowMissingColumns=True)
 
@@ -104,4 +105,4 @@ def stamp_velocity(
 ) -> DataFrame:
     """Micro-batch of ``velocity_stateful`` to transactions with their velocity."""
     joined = left_join_unique(batch_rows(tagged), batch_users(tagged), ["user_id"], policy, size)
-    return joined.select(*VELOCITY_OUT.fieldNames())
+    return joined.select(*[c for c in VELOCITY_OUT.fieldNames() if c in joined.columns])
