@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from tillwatch.config import JoinPolicy, ScoringConfig
@@ -280,7 +280,8 @@ def test_lake_keeps_each_message_once(spark, fanout, tmp_path):
     assert [p.name for p in Path(path).glob("event_date=*")] == ["event_date=2024-01-01"]
 
 
-def test_lake_batch_with_copies_and_without_keys(spark, fanout, tmp_path):
+@pytest.mark.parametrize("policy", [JoinPolicy(), JoinPolicy(max_broadcast_rows=0)])
+def test_lake_batch_with_copies_and_without_keys(spark, fanout, tmp_path, policy):
     _, _, ctx, _ = fanout
     path, quarantine = str(tmp_path / "lake"), Target(str(tmp_path / "quarantine"))
     batch = parse_scored(spark.read.parquet(ctx.targets.scored.location))
@@ -288,7 +289,7 @@ def test_lake_batch_with_copies_and_without_keys(spark, fanout, tmp_path):
     no_key = batch.filter("transaction_id = 't2'").withColumn("k_offset", F.lit(None).cast("long"))
     copies = batch.unionByName(batch).unionByName(same_id).unionByName(no_key)
     for _ in range(2):
-        lake.merge_batch(copies, path, quarantine, Batch("q", 1))
+        lake.merge_batch(copies, path, quarantine, Batch("q", 1), policy)
     stored = lake.read_lake(spark, path)
     assert stored.count() == 11
     assert stored.filter("transaction_id = 't1'").count() == 2
@@ -297,6 +298,36 @@ def test_lake_batch_with_copies_and_without_keys(spark, fanout, tmp_path):
         lake.merge_batch(no_key, path, None, Batch("q", 2))
 
 
+def test_lake_merge_reads_only_files_that_can_hold_the_batch(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    rows_ = spark.createDataFrame(
+        [("raw", 0, i, T0 + timedelta(days=i)) for i in range(100)],
+        "k_topic string, k_partition long, k_offset long, event_time timestamp",
+    ).withColumn("event_date", F.to_date("event_time"))
+    rows_.write.partitionBy("event_date").parquet(path)
+    few = plan(lake.candidates(lake.read_lake(spark, path), rows_.filter("k_offset < 3")))
+    assert "GreaterThanOrEqual(k_offset,0), LessThanOrEqual(k_offset,2)" in few
+    assert "event_date" in few.split("PartitionFilters")[1].split("PushedFilters")[0]
+    many = lake.candidates(lake.read_lake(spark, path), rows_.filter("k_offset >= 20"))
+    assert many.count() == 80
+    undated = rows_.withColumn("event_date", F.lit(None).cast("date"))
+    assert lake.candidates(lake.read_lake(spark, path), undated).count() == 100
+
+
+def test_adaptive_execution_is_on_inside_the_batch(spark, fanout, tmp_path, monkeypatch):
+    _, topic, ctx, _ = fanout
+    seen, stats = [], hot.batch_stats
+
+    def spy(df):
+        seen.append(df.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return stats(df)
+
+    monkeypatch.setattr(hot, "batch_stats", spy)
+    other = hot.HotContext(targets(tmp_path), ctx.customers, ctx.risk)
+    run(hot.start_hot(topic.stream(), other, str(tmp_path / "c"), ONCE))
+    assert seen == ["true", "true"]
+
+
 def test_serving_reads_return_the_newest_version(spark, tmp_path):
     target = Target(str(tmp_path / "transactions"))
     data = [("a", 1, 0, 0), ("b", 2, 100, 0), ("c", 3, 10_000, 1), ("b", 4, 90_000, 2), ("a", 5, 50, 3)]

@@ -73,12 +73,20 @@ def score_batch(tagged: DataFrame, ctx: HotContext, size: Size) -> DataFrame:
 def process_batch(tagged: DataFrame, batch: Batch, ctx: HotContext) -> dict[str, int] | None:
     """Score a micro-batch and write every sink, the ledger row last.
 
-    The input is persisted before its first action, so the stateful plan runs once. A
-    batch that is already in the ledger was written completely and is skipped.
+    A batch that is already in the ledger was written completely and is skipped. Spark
+    turns adaptive execution off for queries with state; the joins and writes here count
+    on it, and the state operator has already been planned.
     """
-    spark, to = tagged.sparkSession, ctx.targets
-    if in_ledger(spark, to.ledger, batch):
+    spark = tagged.sparkSession
+    if in_ledger(spark, ctx.targets.ledger, batch):
         return None
+    with settings(spark, {"spark.sql.adaptive.enabled": "true"}):
+        return _score_and_write(tagged, batch, ctx)
+
+
+def _score_and_write(tagged: DataFrame, batch: Batch, ctx: HotContext) -> dict[str, int] | None:
+    spark, to = tagged.sparkSession, ctx.targets
+    # Persisted before its first action, so the stateful plan runs once.
     tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     scored = None
     try:
@@ -100,7 +108,6 @@ def process_batch(tagged: DataFrame, batch: Batch, ctx: HotContext) -> dict[str,
         write_batch(payloads.alerts_payload(scored), to.alerts, batch)
         write_batch(payloads.clean_payload(scored), to.clean, batch)
         write_batch(payloads.scored_payload(scored), to.scored, batch)
-
         write_batch(_ledger_row(spark, batch, totals), to.ledger, batch)
         log.info(json.dumps({"batch_id": batch.number, **totals}))
         return totals

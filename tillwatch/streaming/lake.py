@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillwatch.operators.joins import latest_by_key
+from tillwatch.config import DEFAULT_JOIN, JoinPolicy
+from tillwatch.operators.joins import latest_by_key, measure
 from tillwatch.operators.merge import has_key, new_rows, unkeyed_rows
 from tillwatch.schemas import MESSAGE_KEY, SCORED_TXN
 from tillwatch.sources.messages import parse_scored
@@ -28,23 +29,31 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
     return or_empty(spark, lambda: spark.read.schema(LAKE).parquet(path), LAKE)
 
 
-def _on_batch_dates(lake: DataFrame, rows: DataFrame) -> DataFrame:
-    """The part of the history that can hold these messages. A message always has the
-    same event time, so only its own date matters. A few dates are listed; more are
-    covered by their range, or by everything when some row has no date."""
-    dates = rows.select("event_date").distinct()
-    listed = [row[0] for row in dates.limit(MAX_DATES + 1).collect()]
-    if None in listed:
-        return lake
-    if len(listed) <= MAX_DATES:
-        return lake.filter(F.col("event_date").isin(listed))
-    low, high, undated = rows.agg(
-        F.min("event_date"), F.max("event_date"), F.count_if(F.col("event_date").isNull())
+def candidates(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The part of the history that can hold these messages.
+
+    Offsets outside the batch's range cannot match, and files are written in offset
+    order, so this skips nearly all of them by their statistics. A message always has
+    the same event time, so only its own date matters either: a few dates are listed;
+    more are covered by their range, or not cut at all when some row has no date.
+    """
+    first, last, low, high, undated = rows.agg(
+        F.min("k_offset"), F.max("k_offset"), F.min("event_date"), F.max("event_date"),
+        F.count_if(F.col("event_date").isNull()),
     ).first()
-    return lake if undated else lake.filter(F.col("event_date").between(low, high))
+    table = table.filter(F.col("k_offset").between(first, last))
+    if undated:
+        return table
+    listed = rows.select("event_date").distinct().limit(MAX_DATES + 1).collect()
+    if len(listed) <= MAX_DATES:
+        return table.filter(F.col("event_date").isin([row[0] for row in listed]))
+    return table.filter(F.col("event_date").between(low, high))
 
 
-def merge_batch(batch_df: DataFrame, path: str, quarantine: Target | None, batch: Batch) -> None:
+def merge_batch(
+    batch_df: DataFrame, path: str, quarantine: Target | None, batch: Batch,
+    policy: JoinPolicy = DEFAULT_JOIN,
+) -> None:
     """Insert the rows whose message is not in the history yet.
 
     Messages already there are skipped by key, so repeating a batch, in whole or after
@@ -55,18 +64,20 @@ def merge_batch(batch_df: DataFrame, path: str, quarantine: Target | None, batch
     rows = batch_df.withColumn("event_date", F.to_date("event_time"))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        keyed, unkeyed = rows.agg(F.count_if(has_key()), F.count_if(~has_key())).first()
-        if keyed:
-            known = _on_batch_dates(read_lake(spark, path), rows.filter(has_key()))
-            fresh = new_rows(known, rows, MESSAGE_KEY)
+        keyed = rows.filter(has_key())
+        size = measure(keyed.select(*MESSAGE_KEY))
+        if size.rows:
+            known = candidates(read_lake(spark, path), keyed)
+            fresh = new_rows(known, keyed, small_source=size.fits(policy))
             (
                 fresh.hint("rebalance", "event_date").write.mode("append")
                 .partitionBy("event_date").parquet(path)
             )
-        if unkeyed and quarantine is not None:
-            write_batch(unkeyed_rows(batch_df), quarantine, batch)
-        elif unkeyed:
-            raise ValueError(f"{unkeyed} rows without message key and no quarantine target")
+        unkeyed = unkeyed_rows(rows).drop("event_date")
+        if not unkeyed.isEmpty():
+            if quarantine is None:
+                raise ValueError("rows without message key and no quarantine target")
+            write_batch(unkeyed, quarantine, batch)
     finally:
         rows.unpersist()
 
