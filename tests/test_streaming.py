@@ -266,6 +266,20 @@ def test_batch_scores_are_the_same_when_nothing_may_be_broadcast(spark, fanout,
         spark.read.parquet(ctx.targets.transactions.location), *columns)
 
 
+def test_supervision_stops_all_when_one_ends(spark, fanout, tmp_path):
+    _, topic, _, _ = fanout
+    spark.streams.resetTerminated()
+    every = {"processingTime": "1 second"}
+    first, second = (
+        hot.start_dlq(topic.stream(), Target(str(tmp_path / name)), str(tmp_path / f"c{name}"), every)
+        for name in ("a", "b")
+    )
+    assert first.isActive and second.isActive
+    first.stop()
+    hot.supervise(spark)
+    assert not second.isActive and not spark.streams.active
+
+
 def test_lake_keeps_each_message_once(spark, fanout, tmp_path):
     _, _, ctx, _ = fanout
     path, quarantine = str(tmp_path / "lake"), Target(str(tmp_path / "quarantine"))

@@ -532,10 +532,10 @@ def _file_path() -> Column:
 
 @query("orphan_files")
 def orphan_files(spark: SparkSession, sf: str) -> DataFrame:
-    """One file per transaction; those of message partition 3 were never committed."""
+    """One file per transaction; those of transactions in error were never committed."""
     txn = txns(spark, sf)
     listing = txn.select(_file_path().alias("path"), F.col("event_time").alias("modified_at"))
-    manifest = txn.filter(F.col("k_partition") != 3).select(_file_path().alias("path"))
+    manifest = txn.filter(F.col("status") != "error").select(_file_path().alias("path"))
     limit = at(AS_OF) - F.expr("INTERVAL 5 DAYS")
     return shown(maintenance.orphan_files(listing, manifest, limit))
 

@@ -425,7 +425,7 @@ SELECT '/lake/event_date=' || strftime(event_time, '%Y-%m-%d') || '/part-' || tr
          || '.parquet' AS path,
        strftime(event_time, {TIME}) AS modified_at
 FROM txn
-WHERE k_partition = 3 AND event_time < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 5 DAY""",
+WHERE status = 'error' AND event_time < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 5 DAY""",
     "compact_table": f"""{TXN}
 SELECT strftime(event_time, '%Y-%m-%d') AS event_date, count(*) AS files,
        CAST(sum((event_id % 1000 + 1) * 1000) AS BIGINT) AS bytes,
