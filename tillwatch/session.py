@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,12 +46,17 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below ``spark.checkpoint.dir``, which every executor of a
-    cluster can reach. Only a session on ``local[...]`` may go without that setting."""
+    """A fresh folder name that every executor can reach: below ``spark.checkpoint.dir``,
+    or where that is unset below the warehouse folder, which a cluster shares as well."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="tillwatch-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a table in the shared scratch folder: computed once, with no
+    lineage behind them, and readable after the loss of any executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
