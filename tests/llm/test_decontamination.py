@@ -51,7 +51,7 @@ def test_query_equals_brute_force(spark, sf):
 @pytest.fixture(scope="module")
 def edge(spark):
     a = " ".join(f"w{i}" for i in range(14))
-    long = " ".join(f"x{i}" for i in range(D.BLOCK - 5)) + " " + a + " y" * 5000 + " " + a
+    long = " ".join(f"x{i}" for i in range(4091)) + " " + a + " y" * 5000 + " " + a
     benchmark = [(1, a), (2, a.upper()), (3, "One two three"), (4, ""), (5, None), (6, "É alpha"),
                  (None, "no id here"), (7, "solo"), (8, "p q r s t u v w x")]
     documents = [

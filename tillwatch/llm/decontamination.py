@@ -1,10 +1,10 @@
 """Benchmark decontamination: hits of benchmark word windows in documents.
 
 The benchmark's windows are a hash set that is broadcast after a check of its size. Documents
-are scanned at every s-th word only: a window of L words that starts anywhere holds a whole
-run of ``L + 1 - s`` words that begins at a multiple of s, so looking those runs (anchors) up
-finds every window that can occur. Each find carries the words around it, in which every
-window is then compared word for word. Only DataFrame functions are used.
+are scanned in steps of s words: a window of L words that starts in such a step holds the run
+of ``L + 1 - s`` words from word ``s - 1`` of the step on, so looking up that one run for each
+step misses no window. Each step carries the words in which its windows lie, so that after a
+find every one of them is compared word for word. Only DataFrame functions are used.
 
 Words are lower-cased in A-Z alone. The first look-up uses ``lower()`` on both sides, which
 can only add finds; the exact comparison that follows uses the A-Z rule.
@@ -25,8 +25,6 @@ from tillwatch.llm.common import small
 from tillwatch.session import written
 
 WINDOW = 10
-# Words of a document that one generated row carries; bounds memory for very long texts.
-BLOCK = 4096
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD_AND_REST = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 BEFORE_WORDS = r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -41,9 +39,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ascii_uppercase, ascii_lowercase)
 
 
-def stride(length: int) -> int:
-    """Distance of the looked-up runs for windows of ``length`` words."""
-    return (length + 1) // 2
+def run_length(length: int) -> int:
+    """Words of a looked-up run for windows of ``length`` words: enough to be rare."""
+    return max(min(length, 3), length * 2 // 5)
+
+
+def step(length: int) -> int:
+    """Distance of the looked-up runs: the most at which each window still holds one."""
+    return length + 1 - run_length(length)
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -65,19 +68,12 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def _runs(length: int) -> str:
-    """The runs of one block of words ``w`` (its first word is number ``at``) for one window
-    length: the looked-up text, and the words in which a window around it can lie. A window
-    that starts in the block's first BLOCK words holds a run of this block."""
-    s = stride(length)
-    run = length + 1 - s
+def _steps(length: int) -> str:
+    """The steps of ``words`` for one window length, each with the words of its windows."""
     return (
-        f"transform(if(size(w) >= {run}, sequence(0, least(size(w) - {run}, {BLOCK + s - 2}), {s}),"
-        f" cast(array() as array<int>)), p -> struct({length} as length,"
-        f" at + greatest(p - {s - 1}, 0) as start,"
-        f" lower(array_join(slice(w, p + 1, {run}), ' ')) as text,"
-        f" slice(w, greatest(p - {s - 1}, 0) + 1,"
-        f" p + {length} - greatest(p - {s - 1}, 0)) as around))"
+        f"transform(if(size(words) >= {length}, sequence(0, size(words) - {length}, {step(length)}),"
+        f" cast(array() as array<int>)), c -> struct({length} as length, c as start,"
+        f" slice(words, c + 1, {length + step(length) - 1}) as near))"
     )
 
 
@@ -87,33 +83,30 @@ def find_windows(documents: DataFrame, windows: DataFrame, keys: list[str]) -> D
     document's word count in ``n_words``. That row's text starts with a space, as no window
     does, and differs by document, so that it finds nothing and overloads no task."""
     lengths = sorted(row["length"] for row in windows.select("length").distinct().collect())
-    half = "cast((length + 1) div 2 as int)"
-    anchors = written(windows.select(
-        "length", F.explode(F.expr(
-            f"transform(sequence(0, {half} - 1), o -> lower(array_join("
-            f"slice(split(text, ' '), o + 1, length + 1 - {half}), ' ')))"
-        )).alias("text")).distinct(), "anchors")
-    reach = BLOCK + max(lengths, default=1)
-    blocks = documents.select(*keys, words_of(F.col("text")).alias("words")).select(
-        *keys, F.size("words").alias("n_words"),
-        F.explode(F.expr(
-            f"transform(sequence(0, greatest(size(words) - 1, 0), {BLOCK}),"
-            f" b -> struct(b as at, slice(words, b + 1, {reach}) as w))")).alias("block"),
-    ).select(*keys, "n_words", "block.*")
-    none = "cast(array() as array<string>)"
-    counts = (
-        f"if(at = 0, array(struct(0 as length, n_words as start, concat(' ', cast(xxhash64("
-        f"{', '.join(keys)}) as string)) as text, {none} as around)),"
-        f" cast(array() as array<struct<length:int,start:int,text:string,around:array<string>>>))"
+    runs = written(windows.select("length", F.explode(F.expr(
+        "transform(sequence(1, length + 1 - greatest(least(length, 3), cast(length * 2 div 5 as int))),"
+        " o -> slice(split(text, ' '), o, greatest(least(length, 3), cast(length * 2 div 5 as int))))"
+    )).alias("run")).select("length", F.lower(F.array_join("run", " ")).alias("text")).distinct(),
+        "runs")
+    count = (
+        "array(struct(0 as length, size(words) as start,"
+        f" array(concat(' ', cast(xxhash64({', '.join(keys)}) as string))) as near))"
+    )
+    steps = F.expr(f"concat({', '.join([count, *map(_steps, lengths)])})")
+    looked_up = (
+        documents.select(*keys, words_of(F.col("text")).alias("words"))
+        .select(*keys, F.explode(steps).alias("step")).select(*keys, "step.*")
+        .withColumn("text", F.expr(
+            "if(length = 0, near[0], lower(array_join(slice(near,"
+            " length + 1 - greatest(least(length, 3), cast(length * 2 div 5 as int)),"
+            " greatest(least(length, 3), cast(length * 2 div 5 as int))), ' ')))"))
+        .join(small(runs).withColumn("known", F.lit(True)), ["length", "text"], "left")
+        .filter("known or length = 0")
     )
-    runs = F.expr(f"concat({', '.join([counts, *map(_runs, lengths)])})")
-    looked_up = blocks.select(*keys, F.explode(runs).alias("run")).select(*keys, "run.*").join(
-        small(anchors).withColumn("known", F.lit(True)), ["length", "text"], "left"
-    ).filter("known or length = 0")
     tried = looked_up.select(*keys, "length", F.explode(F.expr(
         "if(length = 0, array(struct(start, text)),"
-        " transform(sequence(0, greatest(size(around) - length, 0)), o -> struct("
-        "start + o as start, array_join(slice(around, o + 1, length), ' ') as text)))"
+        " transform(sequence(0, size(near) - length), o -> struct("
+        " start + o as start, array_join(slice(near, o + 1, length), ' ') as text)))"
     )).alias("try")).select(*keys, "length", "try.start", ascii_lower(F.col("try.text")).alias("text"))
     return tried.join(small(windows), ["length", "text"], "left").filter(
         "items is not null or length = 0"
