@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwatch.llm import decontamination
+from tillwatch.llm import decontamination, jaccard, line_dedup
 from tillwatch.llm.common import table
 
 
@@ -15,7 +15,19 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digest(jaccard.similar(table(spark, sf_dir, "documents")))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.cut_lines(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_jaccard_join": op2_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
+}
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": line_dedup.ORACLE,
 }
-ORACLES: dict[str, str] = {}
