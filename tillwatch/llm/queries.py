@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwatch.llm import decontamination, jaccard, line_dedup
+from tillwatch.llm import decontamination, jaccard, line_dedup, toxicity
 from tillwatch.llm.common import table
 
 
@@ -23,10 +23,16 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.cut_lines(table(spark, sf_dir, "documents")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(toxicity.score(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_jaccard_join": op2_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op7_toxicity": op7_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
