@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwatch.llm import decontamination, jaccard, line_dedup, toxicity
+import corpus_pipeline
+from tillwatch.llm import bpe, decontamination, jaccard, line_dedup, toxicity
 from tillwatch.llm.common import table
 
 
@@ -19,6 +21,12 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.digest(jaccard.similar(table(spark, sf_dir, "documents")))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary(
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return vocabulary.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.cut_lines(table(spark, sf_dir, "documents")))
 
@@ -29,8 +37,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op7_toxicity": op7_toxicity,
 }
