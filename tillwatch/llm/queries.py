@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tillwatch.llm import bpe, decontamination, jaccard, line_dedup, toxicity
+from tillwatch.llm import bpe, decontamination, jaccard, language_id, line_dedup, sharding, toxicity
 from tillwatch.llm.common import table
 
 
@@ -36,6 +36,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(language_id.identify(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
@@ -43,6 +51,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op7_toxicity": op7_toxicity,
+    "op9_sharding": op9_sharding,
+    "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,

@@ -42,7 +42,8 @@ GRAM = 5
 MIN_SHARE, MIN_RATIO, MIN_ROWS = 0.015, 40.0, 4
 # Bounds on what the driver sees of the training rows: words, and bytes of each dictionary.
 MAX_WORDS = 20_000
-ORDINARY_BYTES, TOXIC_BYTES = 4096, 2048
+ORDINARY_BYTES, TOXIC_BYTES = 4096, 4096
+ROUNDS = 50
 DIFFERENCES = (3, 4, 5)
 REMEMBERED = 200_000
 FILLER = b"\n~~~~~~~~0123456789abcdefghij~~~~\n"
@@ -133,7 +134,9 @@ def train(rows: DataFrame) -> tuple[bytes, bytes] | None:
     order = [F.col("toxic").desc(), F.col("word")]
     bad = words.filter("toxic > ordinary").orderBy(*order).limit(MAX_WORDS).collect()
     plain = words.filter("ordinary > 0").orderBy(F.col("ordinary").desc(), "word").limit(MAX_WORDS).collect()
-    parts = [p for r in bad for p in _telling_parts(bytes(r["word"]), telling) for _ in range(min(r["toxic"], 50))]
+    weighed = [(_telling_parts(bytes(r["word"]), telling), r["toxic"]) for r in bad]
+    # Round by round, so that frequent parts are spread over the samples.
+    parts = [p for turn in range(ROUNDS) for found, rows in weighed if rows > turn for p in found]
     toxic = [b" ".join(parts[i:i + 8]) for i in range(0, len(parts), 8)]
     ordinary = [b" " + bytes(r["word"]) + b" " for r in plain if not _telling_parts(bytes(r["word"]), telling)]
     ordinary = [b"".join(ordinary[i::len(ordinary) // 10 + 1]) for i in range(len(ordinary) // 10 + 1)]
