@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tillwatch.llm import bpe, decontamination, jaccard, language_id, line_dedup, sharding, toxicity
+from tillwatch.llm import (
+    bpe, decontamination, html_text, jaccard, language_id, line_dedup, neighbours, sharding,
+    toxicity, url_filter,
+)
 from tillwatch.llm.common import table
 
 
@@ -27,15 +30,27 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(html_text.main_text(table(spark, sf_dir, "pages")))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.cut_lines(table(spark, sf_dir, "documents")))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(toxicity.score(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
@@ -49,8 +64,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_html_text": op4_html_text,
     "op5_line_dedup": op5_line_dedup,
+    "op6_url_filter": op6_url_filter,
     "op7_toxicity": op7_toxicity,
+    "op8_neighbours": op8_neighbours,
     "op9_sharding": op9_sharding,
     "op10_language_id": op10_language_id,
 }
