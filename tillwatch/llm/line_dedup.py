@@ -103,20 +103,20 @@ def digest(cut: DataFrame) -> DataFrame:
 ORACLE = f"""
 WITH lines AS (
     SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
-           generate_subscripts(string_split(text, chr(10)), 1) AS at
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos
     FROM documents),
-long AS (
-    SELECT doc_id, source, at, trim(line) AS line FROM lines
+longer AS (
+    SELECT doc_id, source, pos, trim(line) AS line FROM lines
     WHERE len(regexp_split_to_array(trim(line), ' +')) >= {MIN_WORDS}),
 shared AS (
-    SELECT line, min((doc_id, at)) AS first FROM long GROUP BY line
+    SELECT line, min((doc_id, pos)) AS first FROM longer GROUP BY line
     HAVING count(DISTINCT source) >= {MIN_SITES}),
 cut AS (
-    SELECT doc_id, at FROM long JOIN shared USING (line) WHERE (doc_id, at) <> first),
+    SELECT doc_id, pos FROM longer JOIN shared USING (line) WHERE (doc_id, pos) <> first),
 kept AS (
-    SELECT l.doc_id, count(*) AS n_lines, count(c.at) AS n_cut,
-           string_agg(l.line, chr(10) ORDER BY l.at) FILTER (WHERE c.at IS NULL) AS text
-    FROM lines l LEFT JOIN cut c ON c.doc_id = l.doc_id AND c.at = l.at GROUP BY l.doc_id)
+    SELECT l.doc_id, count(*) AS n_lines, count(c.pos) AS n_cut,
+           string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE c.pos IS NULL) AS text
+    FROM lines l LEFT JOIN cut c ON c.doc_id = l.doc_id AND c.pos = l.pos GROUP BY l.doc_id)
 SELECT doc_id, n_lines, n_cut, length(coalesce(text, '')) AS n_chars,
        sha256(coalesce(text, '')) AS text_sha256
 FROM kept
