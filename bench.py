@@ -25,8 +25,7 @@ HEADLINE = [
     "enrich_customers", "enrich_risk", "velocity_snapshot", "velocity_trailing",
     "velocity_trailing_24h", "emit_scored", "parse_scored", "lake_merge_insert", "latest_by_key",
     "latest_per_user", "risk_profile_features", "dashboard_stats", "top_risky_users",
-    "recent_fraud_scores", "running_totals", "quality_gate", "snapshots_to_expire",
-    "orphan_files",
+    "recent_fraud_scores", "running_totals", "quality_gate",
 ]
 STREAMS = ["velocity_5min", "hot_fanout", "lake_stream"]
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 from tillwatch.operators import serving
 from tillwatch.operators.quality import freshness
-from tillwatch.operators.stats import BLOCK, running_totals
+from tillwatch.operators.stats import running_totals
 from tillwatch.sources.events import AS_OF, at
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -79,12 +79,14 @@ def test_alerts_are_presented(spark):
         "01234567", "2024-01-01 10:11:12", "10:11:12", "critical")
 
 
-def test_running_totals_cross_blocks(spark):
-    ledger = spark.range(0, 3 * BLOCK, 1000).select(
-        F.col("id").alias("batch_id"), F.lit(1).alias("total"), F.lit(2).alias("flagged"),
-        F.lit(3).alias("geo_hits"))
-    got = {r["batch_id"]: (r["acc_total"], r["acc_geo_hits"]) for r in running_totals(ledger).collect()}
-    assert got == {i * 1000: (i + 1, 3 * (i + 1)) for i in range(13)}
+def test_running_totals_keep_queries_apart(spark):
+    ledger = spark.range(0, 20).select(
+        F.expr("concat('q', id % 2)").alias("query_id"), F.expr("id div 2").alias("batch_id"),
+        F.lit(1).alias("total"), F.lit(2).alias("flagged"), F.lit(3).alias("geo_hits"))
+    got = {(r["query_id"], r["batch_id"]): (r["acc_total"], r["acc_geo_hits"])
+           for r in running_totals(ledger).collect()}
+    assert got == {(q, i): (i + 1, 3 * (i + 1)) for q in ("q0", "q1") for i in range(10)}
+    assert plan(running_totals(ledger)).count("Exchange") == 1
 
 
 # Plans ---------------------------------------------------------------------------
@@ -117,18 +119,19 @@ def test_top_lists_sort_only_what_they_return(spark):
 
 
 def test_newest_rows_are_cut_before_the_shuffle(spark):
-    for name in ("latest_per_user", "latest_by_key", "merge_anti", "snapshots_to_expire"):
+    for name in ("latest_per_user", "latest_by_key", "merge_anti"):
         text = plan(QUERIES[name](spark, TESTDATA))
         assert "WindowGroupLimit" in text and "Partial" in text, name
 
 
-def test_scoring_does_not_shuffle_the_transactions(spark):
-    """With a small per-user table the wide rows go from scan to result in one stage."""
-    text = plan(QUERIES["sink_transactions"](spark, TESTDATA))
-    top = text[: text.index("FileScan")]
-    assert "Exchange hashpartitioning" not in top and "BroadcastHashJoin" in top
-
-
+def test_scoring_joins_the_transactions_once(spark):
+    """The facts are scanned for the newest time, the count and the rows, and the wide rows
+    take part in one join, which run-time sizes turn into a broadcast."""
+    df = QUERIES["sink_transactions"](spark, TESTDATA)
+    assert "BroadcastExchange" not in plan(df)
+    assert plan(df).count("merchant_lat") and plan(df).count("Exchange hashpartitioning") <= 8
+    df.collect()
+    assert "BroadcastHashJoin" in plan(df)
 
 
 def test_a_message_is_parsed_once(spark):

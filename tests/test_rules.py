@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import math
+import re
+import time
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from tillwatch.config import JoinPolicy, ScoringConfig
+from tillwatch.config import ScoringConfig
 from tillwatch.functions import geo, payloads, rules
 from tillwatch.operators import enrich, ingest, scoring, velocity
 from tillwatch.schemas import MESSAGE, RAW_TXN
@@ -42,7 +44,8 @@ CASES = [
     (message(amount="1.5"), "missing_amount"),
     (message(amount=0), "non_positive_amount"),
     (message(amount=-1), "non_positive_amount"),
-    (message(amount=float("nan")), None),
+    (message(amount=float("nan")), "amount_out_of_range"),
+    (message(amount=1e17), "amount_out_of_range"),
     (message(merchant_id=""), "missing_merchant_id"),
     (message(timestamp="nope"), "bad_timestamp"),
     (message(timestamp=...), "bad_timestamp"),
@@ -214,9 +217,34 @@ def test_trailing_velocity_against_brute_force(spark, seconds):
     offsets = [0, 0, 0, 1, 59.999999, 60, 60.000001, 299, 300, 300.000001, 599, 600, 601, 1200]
     events = [(i, f"u{i % 2}", T0 + timedelta(seconds=s)) for i, s in enumerate(offsets * 2)]
     df = spark.createDataFrame(events, "id long, user_id string, event_time timestamp")
-    for policy in (JoinPolicy(), JoinPolicy(max_broadcast_rows=0, hot_rows=2)):
-        got = velocity.velocity_trailing(df, seconds, policy).collect()
-        assert {r["id"]: r["velocity_5min"] for r in got} == velocity_model(events, seconds)
+    got = velocity.velocity_trailing(df, seconds).collect()
+    assert {r["id"]: r["velocity_5min"] for r in got} == velocity_model(events, seconds)
+
+
+def test_trailing_velocity_of_a_hot_user_is_linear_and_spread(spark):
+    """Twice the events of one user take about twice the time, in many tasks."""
+    def seconds_for(n):
+        df = spark.range(n).selectExpr(
+            "id", "'hot' AS user_id", "timestamp_micros(1700000000000000 + id * 100000) AS event_time")
+        start = time.perf_counter()
+        counts = velocity.velocity_trailing(df, 86_400).agg({"velocity_5min": "max"}).first()[0]
+        assert counts == n
+        return time.perf_counter() - start
+
+    seconds_for(1_000)
+    assert seconds_for(80_000) < 6 * seconds_for(40_000) + 2
+    df = spark.range(20_000).selectExpr(
+        "id", "concat('hot', id div 1000000) AS user_id",
+        "timestamp_micros(1700000000000000 + id * 1000000) AS event_time")
+    assert re.search(r"hashpartitioning\(user_id#\d+, _slot#", plan(velocity.velocity_trailing(df, 300)))
+    assert df.selectExpr("unix_micros(event_time) div 37500000 AS slot").distinct().count() > 500
+
+
+def test_velocity_ignores_rows_without_user_or_time(spark):
+    df = spark.createDataFrame(
+        [(1, None, T0), (2, "u", None), (3, "u", T0)], "id long, user_id string, event_time timestamp")
+    got = {r["id"]: r["velocity_5min"] for r in velocity.velocity_trailing(df, 60).collect()}
+    assert got == {1: None, 2: None, 3: 1}
 
 
 def test_snapshot_velocity_counts_to_the_newest_event(spark):
@@ -225,22 +253,45 @@ def test_snapshot_velocity_counts_to_the_newest_event(spark):
     events += [(100 + i, "v", T0 - timedelta(days=i)) for i in range(3)]
     df = spark.createDataFrame(events, "id long, user_id string, event_time timestamp")
     expected = {**{i: 2 for i in range(6)}, **{100 + i: 1 for i in range(3)}}
-    for policy in (JoinPolicy(), JoinPolicy(max_broadcast_rows=0, hot_rows=2)):
-        got = velocity.velocity_snapshot(df, 300, policy).collect()
-        assert {r["id"]: r["velocity_5min"] for r in got} == expected
+    got = velocity.velocity_snapshot(df, 300).collect()
+    assert {r["id"]: r["velocity_5min"] for r in got} == expected
 
 
-def test_score_is_the_same_on_both_join_paths(spark, sf):
+def test_score_is_the_same_however_the_join_runs(spark, sf):
+    from tillwatch.session import settings
     from tillwatch.sources import events
 
     txn = events.transactions(spark, sf)
     customers, risk = events.customers(txn), events.risk(txn)
     cfg = ScoringConfig(velocity_seconds=86_400)
-    small = scoring.score_transactions(txn, customers, risk, cfg)
-    large = scoring.score_transactions(
-        txn, customers, risk, cfg, JoinPolicy(max_broadcast_rows=0, hot_rows=20))
     columns = ["transaction_id", "velocity_5min", "fraud_score", "is_flagged", "reasons", "plan"]
-    got = rows(small, *columns)
-    assert got == rows(large, *columns)
+    got = rows(scoring.score_transactions(txn, customers, risk, cfg), *columns)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                          "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        assert got == rows(scoring.score_transactions(txn, customers, risk, cfg), *columns)
     assert {r[2] for r in got} <= {0, 30, 40, 60, 70, 100}
     assert all(r[3] == (r[4].count(",") >= 1) for r in got)
+
+
+def test_no_job_runs_while_a_score_is_planned(spark, sf):
+    from tillwatch.sources import events
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    txn = events.transactions(spark, sf)
+    scored = scoring.score_transactions(txn, events.customers(txn), events.risk(txn))
+    plan(scored)
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize(("amount", "reason"), [
+    (1e16, "amount_out_of_range"), (1e17, "amount_out_of_range"), (float("nan"), "amount_out_of_range"),
+    (float("inf"), "amount_out_of_range"), (float("-inf"), "non_positive_amount"), (9.9e15, None),
+])
+def test_amounts_that_no_money_column_holds(spark, amount, reason):
+    df = spark.createDataFrame(
+        [("t", "u", amount, "m", T0, T0, ("x",))],
+        "transaction_id string, user_id string, amount double, merchant_id string, "
+        "event_time timestamp, ingest_time timestamp, j struct<a:string>")
+    assert ingest.tag_dlq(df).first()["dlq_reason"] == reason

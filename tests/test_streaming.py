@@ -218,7 +218,7 @@ def test_ledger_has_one_row_per_batch_and_totals_add_up(spark, fanout):
 
     ledger = spark.read.parquet(fanout[2].targets.ledger.location)
     assert set(LEDGER.fieldNames()) <= set(ledger.columns)
-    totals = rows(running_totals(ledger))
+    totals = rows(running_totals(ledger).drop("query_id"))
     assert totals == [(0, 4, 1, 1, 4, 1, 1), (1, 6, 6, 0, 10, 7, 1)]
 
 
@@ -319,13 +319,97 @@ def test_lake_merge_reads_only_files_that_can_hold_the_batch(spark, tmp_path):
         "k_topic string, k_partition long, k_offset long, event_time timestamp",
     ).withColumn("event_date", F.to_date("event_time"))
     rows_.write.partitionBy("event_date").parquet(path)
-    few = plan(lake.candidates(lake.read_lake(spark, path), rows_.filter("k_offset < 3")))
-    assert "GreaterThanOrEqual(k_offset,0), LessThanOrEqual(k_offset,2)" in few
-    assert "event_date" in few.split("PartitionFilters")[1].split("PushedFilters")[0]
-    many = lake.candidates(lake.read_lake(spark, path), rows_.filter("k_offset >= 20"))
-    assert many.count() == 80
+    few = lake.candidates(spark, path, rows_.filter("k_offset < 3"))
+    assert "GreaterThanOrEqual(k_offset,0), LessThanOrEqual(k_offset,2)" in plan(few)
+    assert len(few.inputFiles()) == 3 and few.count() == 3
+    assert lake.candidates(spark, path, rows_.filter("k_offset >= 20")).count() == 80
     undated = rows_.withColumn("event_date", F.lit(None).cast("date"))
-    assert lake.candidates(lake.read_lake(spark, path), undated).count() == 100
+    assert lake.candidates(spark, path, undated).count() == 100
+    new = rows_.limit(1).withColumn("event_date", F.lit("2030-01-01").cast("date"))
+    assert lake.candidates(spark, path, new).count() == 0
+
+
+def test_lake_merge_into_a_table_is_built(spark, fanout):
+    """No catalog with MERGE is installed: the plan reaches that point and says so."""
+    batch = parse_scored(spark.read.parquet(fanout[2].targets.scored.location))
+    batch.limit(0).write.mode("overwrite").saveAsTable("merged_lake")
+    with pytest.raises(Exception, match="(?i)merge"):
+        lake.merge_into_table(batch, "merged_lake")
+
+
+def test_stream_goes_on_while_dimensions_are_loaded(spark, tmp_path):
+    """A batch, three loads of both dimensions, and the next batch of the same query."""
+    from tillwatch.plans import daily
+    from tillwatch.plans.tables import create_tables
+    from tillwatch.sources.tables import load_customers, load_risk, table_version
+
+    create_tables(spark, "stream_dims")
+
+    def load(number):
+        people = spark.createDataFrame([("u", "BASIC", 10.0 * number, 1.0)], CUSTOMERS)
+        places = spark.createDataFrame([("u", None, None, None, 0.0, 0.0, T0 - timedelta(hours=number))],
+                                       RISK_PROFILES)
+        daily.overwrite(people, "stream_dims.customers")
+        daily.overwrite(places, "stream_dims.risk_profiles")
+
+    load(1)
+    # TTLs that never end: only the table's pointer tells that there is another load.
+    ctx = hot.HotContext(
+        targets(tmp_path),
+        Refreshed(lambda: load_customers(spark, "stream_dims.customers"), 1e9,
+                  version=lambda: table_version(spark, "stream_dims.customers")),
+        Refreshed(lambda: load_risk(spark, "stream_dims.risk_profiles"), 1e9,
+                  version=lambda: table_version(spark, "stream_dims.risk_profiles")))
+    topic = Topic(spark, tmp_path)
+    topic.send([txn(1, "u", 0, amount=30.0)])
+    run(hot.start_hot(topic.stream(), ctx, str(tmp_path / "c"), ONCE))
+    for number in (2, 3, 4):
+        load(number)
+    topic.send([txn(2, "u", 1, amount=40.0)])
+    run(hot.start_hot(topic.stream(), ctx, str(tmp_path / "c"), ONCE))
+    stored = spark.read.parquet(ctx.targets.transactions.location)
+    scores = {r["transaction_id"]: round(r["amount_zscore"], 3) for r in stored.collect()}
+    assert scores == {"t1": round(20 / 3, 3), "t2": 0.0}
+
+
+def test_a_batch_whose_dimension_files_are_gone_is_scored_again(spark, tmp_path):
+    folder = tmp_path / "people"
+    write = lambda avg: spark.createDataFrame(
+        [("u", "BASIC", avg, 1.0)], CUSTOMERS).write.mode("overwrite").parquet(str(folder))
+    write(10.0)
+    places = spark.createDataFrame([], RISK_PROFILES)
+    ctx = hot.HotContext(
+        targets(tmp_path), Refreshed(lambda: spark.read.schema(CUSTOMERS).parquet(str(folder)), 1e9),
+        Refreshed(lambda: places))
+    ctx.customers.get()
+    write(20.0)
+    topic = Topic(spark, tmp_path)
+    topic.send([txn(1, "u", 0, amount=40.0)])
+    run(hot.start_hot(topic.stream(), ctx, str(tmp_path / "c"), ONCE))
+    assert round(spark.read.parquet(ctx.targets.transactions.location).first()["amount_zscore"], 3) == round(20 / 6, 3)
+
+
+def test_no_amount_stops_the_stream(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    topic = Topic(spark, tmp_path)
+    topic.send([txn(1, "u", 0, amount=1e17), txn(2, "u", 1, amount=float("nan")),
+                txn(3, "u", 2, amount=float("inf")), txn(4, "u", 3, amount=9e15), txn(5, "u", 4)])
+    run(hot.start_hot(topic.stream(), ctx, str(tmp_path / "c"), ONCE))
+    run(hot.start_dlq(topic.stream(), Target(str(tmp_path / "dlq")), str(tmp_path / "c"), ONCE))
+    stored = spark.read.parquet(ctx.targets.transactions.location)
+    assert sorted(r["transaction_id"] for r in stored.collect()) == ["t4", "t5"]
+    dead = [json.loads(r["value"]) for r in spark.read.parquet(str(tmp_path / "dlq")).collect()]
+    assert [d["reason"] for d in dead] == ["amount_out_of_range"] * 3
+
+
+def test_times_keep_their_microseconds(spark, tmp_path):
+    ctx = context(spark, tmp_path)
+    topic = Topic(spark, tmp_path)
+    body = txn(1, "u", 0) | {"timestamp": "2024-01-01T12:00:00.123456Z"}
+    topic.send([body])
+    run(hot.start_hot(topic.stream(), ctx, str(tmp_path / "c"), ONCE))
+    row = parse_scored(spark.read.parquet(ctx.targets.scored.location)).first()
+    assert row["event_time"] == T0 + timedelta(microseconds=123456)
 
 
 def test_adaptive_execution_is_on_inside_the_batch(spark, fanout, tmp_path, monkeypatch):
@@ -349,9 +433,9 @@ def test_serving_reads_return_the_newest_version(spark, tmp_path):
         df = spark.createDataFrame(
             [(key, value, T0 + timedelta(seconds=event), T0 + timedelta(days=1, seconds=arrival))],
             "transaction_id string, value int, event_time timestamp, ingest_time timestamp")
-        dated = df.withColumn("event_date", F.to_date("event_time"))
-        sinks.write_batch(dated, target, Batch("q", number), "event_date")
-    current = sinks.read_current(spark, target, ["transaction_id"], ["ingest_time"])
+        dated = df.withColumn("arrival_date", F.to_date("ingest_time"))
+        sinks.write_batch(dated, target, Batch("q", number), "arrival_date")
+    current = sinks.read_current(spark, target, ["transaction_id"], "ingest_time")
     assert rows(current, "transaction_id", "value") == [("a", 5), ("b", 4), ("c", 3)]
     for second in (0, 60, 5_000, 50_000, 100_000):
         since = F.lit(T0 + timedelta(seconds=second))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -109,7 +109,7 @@ def test_reconcile_passes_fresh_data_and_fails_old_or_empty(spark):
     with pytest.raises(QualityError, match="freshness_lag.*recent_ingest_count"):
         daily.reconcile(late, at(AS_OF))
     empty = spark.createDataFrame([], schema)
-    gate = quality.quality_gate(quality.stream_checks(empty, at(AS_OF)))
+    gate = quality.quality_gate([quality.stream_checks(empty, at(AS_OF))])
     assert rows(gate) == [("freshness_lag", None, 600, False), ("recent_ingest_count", 0, 1, False)]
 
 
@@ -152,10 +152,97 @@ def test_fingerprint_sees_counts_not_order(spark):
     assert maintenance.fingerprint(df) != maintenance.fingerprint(df.distinct())
 
 
-def test_expiry_keeps_the_newest_of_each_table(spark):
-    data = [("t", i, datetime(2024, 1, i)) for i in range(1, 11)] + [("s", 1, datetime(2020, 1, 1))]
-    log = spark.createDataFrame(data, "table_name string, snapshot_id long, committed_at timestamp")
-    limit = F.lit(datetime(2024, 1, 6))
-    assert rows(maintenance.snapshots_to_expire(log, limit), "table_name", "snapshot_id") == [
-        ("t", i) for i in range(1, 6)]
-    assert rows(maintenance.snapshots_to_expire(log, limit, 7), "snapshot_id") == [(1,), (2,), (3,)]
+def test_compaction_refuses_other_layouts(spark, tmp_path):
+    path = str(tmp_path / "serving")
+    df = spark.range(40).selectExpr("id", "id % 2 AS batch", "date'2024-01-01' AS event_date")
+    df.repartition(4).write.partitionBy("batch", "event_date").parquet(path)
+    expected = rows(spark.read.parquet(path))
+    with pytest.raises(ValueError, match="not partitioned by event_date alone"):
+        maintenance.compact(spark, path)
+    assert rows(spark.read.parquet(path)) == expected
+
+
+def test_compaction_keeps_what_a_writer_adds_meanwhile(spark, sf, tmp_path, monkeypatch):
+    path = str(tmp_path / "lake")
+    write_small_files(spark, sf, path, 3)
+    before = spark.read.parquet(path)
+    expected, extra = rows(before), [tuple(r) for r in before.limit(1).collect()]
+    schema, finish = before.schema, maintenance._finish
+
+    def add_first(session, work):
+        session.createDataFrame(extra, schema).write.mode("append").partitionBy("event_date").parquet(path)
+        finish(session, work)
+
+    monkeypatch.setattr(maintenance, "_finish", add_first)
+    maintenance.compact(spark, path)
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path)) == sorted(expected + extra, key=repr)
+
+
+@pytest.mark.parametrize("step", ["move", "delete"])
+def test_a_crashed_compaction_is_finished_by_the_next(spark, sf, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "lake")
+    write_small_files(spark, sf, path, 3)
+    expected = rows(spark.read.parquet(path))
+    real, calls = getattr(maintenance, step), []
+
+    def crash(*args):
+        calls.append(args)
+        if len(calls) == 3:
+            raise OSError("driver lost")
+        return real(*args)
+
+    monkeypatch.setattr(maintenance, step, crash)
+    with pytest.raises(OSError, match="driver lost"):
+        maintenance.compact(spark, path)
+    monkeypatch.setattr(maintenance, step, real)
+    maintenance.compact(spark, path)
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path)) == expected
+
+
+def test_loads_are_published_whole_and_the_former_one_stays(spark, databases, tmp_path):
+    path = tmp_path / "customers.csv"
+    seen = []
+    for number in range(4):
+        path.write_text(f"user_id,plan,avg_amount_30d,credit_limit\nu{number},BASIC,1,1\n")
+        before = load_customers(spark, "lake.customers")
+        old = rows(before)
+        daily.load_customers_job(spark, str(path), "lake.customers")
+        assert rows(before) == old, "a reader lost its files"
+        seen.append(rows(load_customers(spark, "lake.customers"), "user_id"))
+    assert seen == [[(f"u{i}",)] for i in range(4)]
+
+
+def test_a_failed_load_changes_nothing(spark, databases):
+    expected = rows(spark.table("lake.customers"))
+    broken = spark.range(1).selectExpr("cast(id AS string)", "'x'", "1.0D", "cast(raise_error('no') AS double)")
+    with pytest.raises(Exception, match="no"):
+        daily.overwrite(broken, "lake.customers")
+    assert rows(spark.table("lake.customers")) == expected
+    assert not [t.name for t in spark.catalog.listTables("lake") if "_load_" in t.name]
+
+
+def test_hourly_check_counts_by_arrival(spark, tmp_path):
+    """Old events that arrive now are rows that arrived."""
+    from tillwatch.schemas import SERVING_TRANSACTIONS
+    from tillwatch.streaming.sinks import Batch, Target, read_arrived, write_batch
+
+    target = Target(str(tmp_path / "transactions"))
+    df = spark.range(10).selectExpr(
+        "cast(id AS string) AS transaction_id", "current_timestamp() - INTERVAL 3 DAYS AS event_time",
+        "current_timestamp() AS ingest_time", "current_date() AS arrival_date")
+    write_batch(df, target, Batch("q", 0), "arrival_date")
+    since = F.current_timestamp() - F.expr("INTERVAL 1 DAY")
+    got = read_arrived(spark, target, ["transaction_id"], "ingest_time", since, SERVING_TRANSACTIONS)
+    assert quality.recent_count(got).first()[0] == 10
+    assert "arrival_date" in plan(got).split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_alerts_can_be_read_before_the_first_one(spark, tmp_path):
+    from tillwatch.operators import serving
+    from tillwatch.schemas import SERVING_FRAUD_SCORES
+    from tillwatch.streaming.sinks import Target, read_current
+
+    none = read_current(spark, Target(str(tmp_path / "no")), ["transaction_id"], "flagged_at", SERVING_FRAUD_SCORES)
+    assert serving.recent_fraud_scores(none).count() == 0

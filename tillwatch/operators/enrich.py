@@ -56,16 +56,3 @@ def user_features(per_user: DataFrame, customers: DataFrame, risk: DataFrame) ->
         per_user.join(customer_dim(customers), "user_id", "left")
         .join(risk_dim(risk), "user_id", "left")
     )
-
-
-def user_features_size(txns: DataFrame, customers: DataFrame | None = None) -> Size:
-    """Upper bound of a table with one row per user of ``txns``, from one narrow pass:
-    the distinct users, the plan texts, and 16 bytes for each of six more columns. It
-    is far cheaper than building that table twice to measure it."""
-    width = F.octet_length("user_id") + 7 * 16
-    sizes = txns.select("user_id").distinct().select(F.lit(1).alias("rows"), width.alias("bytes"))
-    if customers is not None:
-        plans = customers.select(F.lit(0), F.coalesce(F.octet_length("plan"), F.lit(0)))
-        sizes = sizes.union(plans)
-    total = sizes.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).first()
-    return Size(total["rows"] or 0, total["bytes"] or 0)

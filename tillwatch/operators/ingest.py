@@ -10,6 +10,16 @@ from tillwatch.schemas import RAW_TXN
 
 _CORRUPT = "_corrupt"
 
+# The reasons of rejected messages, in the order in which they are tried. The
+# last two are additions: amounts that no money column holds, and events from the future.
+REASONS = [
+    "schema_parse_error", "missing_transaction_id", "missing_user_id", "missing_amount",
+    "non_positive_amount", "missing_merchant_id", "bad_timestamp",
+    "amount_out_of_range", "future_timestamp",
+]
+# The least amount beyond DECIMAL(18,2).
+AMOUNT_LIMIT = 1e16
+
 
 def project_meta(messages: DataFrame) -> DataFrame:
     """Broker columns to typed identity columns plus the message text."""
@@ -62,21 +72,22 @@ def tag_dlq(
     unreadable = F.col("j").isNull()
     if strict_parse:
         unreadable = unreadable | F.col(f"j.{_CORRUPT}").isNotNull()
-    rules = [
-        (unreadable, "schema_parse_error"),
-        (_missing("transaction_id"), "missing_transaction_id"),
-        (_missing("user_id"), "missing_user_id"),
-        (F.col("amount").isNull(), "missing_amount"),
-        (F.col("amount") <= 0, "non_positive_amount"),
-        (_missing("merchant_id"), "missing_merchant_id"),
-        (F.col("event_time").isNull(), "bad_timestamp"),
+    broken = [
+        unreadable,
+        _missing("transaction_id"),
+        _missing("user_id"),
+        F.col("amount").isNull(),
+        F.col("amount") <= 0,
+        _missing("merchant_id"),
+        F.col("event_time").isNull(),
+        F.isnan("amount") | (F.col("amount") >= AMOUNT_LIMIT),
     ]
     if max_future_skew:
         limit = F.col("ingest_time") + F.expr(f"INTERVAL {max_future_skew}")
-        rules.append((F.col("event_time") > limit, "future_timestamp"))
-    reason = F.when(rules[0][0], F.lit(rules[0][1]))
-    for broken, name in rules[1:]:
-        reason = reason.when(broken, F.lit(name))
+        broken.append(F.col("event_time") > limit)
+    reason = F.when(broken[0], F.lit(REASONS[0]))
+    for rule, name in zip(broken[1:], REASONS[1:]):
+        reason = reason.when(rule, F.lit(name))
     return expanded.withColumn("dlq_reason", reason)
 
 

@@ -1,13 +1,17 @@
-"""Upkeep of history tables: compaction, snapshot expiry, orphan files."""
+"""Compaction of history tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.session import scratch_path, settings
+from tillwatch.sources.files import children, delete, exists, move
 
 TARGET_BYTES = 134_217_728
+# Hidden from readers by its first letter.
+WORK = "_compaction"
 PARTITIONS_PER_RUN = 366
 
 
@@ -15,7 +19,8 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, modified_at, bytes) of every data file below a folder. The content column
     is not selected, so no file is opened."""
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "[!._]*").load(path)
         .select("path", F.col("modificationTime").alias("modified_at"),
                 F.col("length").alias("bytes"))
     )
@@ -47,52 +52,78 @@ def compact(
     sort_by: tuple[str, ...] = ("event_time",),
     target_bytes: int = TARGET_BYTES,
 ) -> int:
-    """Rewrite the small files of a partitioned Parquet table into files of about
+    """Rewrite the small files of a table partitioned by ``column`` alone into files of about
     ``target_bytes``; returns the number of partitions rewritten.
 
     Each partition gets as many tasks as it needs files, and its rows are dealt to them
-    by hash, so a partition that holds most of the table is written by many tasks. The
-    new files go to the shared scratch folder and are compared with the old rows before
-    they replace the partitions: a lost executor or driver leaves either the old files
-    or a complete copy to replace them with. Plain files have no transactions, so run
-    this while no writer appends to the table; files that do appear meanwhile stop it
-    before anything is replaced. Partitions are taken in runs of at most
-    ``PARTITIONS_PER_RUN`` until none is left.
+    by hash, so a partition that holds most of the table is written by many tasks. The new
+    files are written beside the table and compared with the rows of exactly the listed files.
+    Then a journal of what goes and what comes is written, the new files are moved in, and the
+    listed files are deleted, never any other: what a writer adds meanwhile stays. After a
+    crash the next run finishes what a journal describes. Plain files have no transactions:
+    between moving and deleting a reader can see both copies. Partitions are taken in runs of
+    at most ``PARTITIONS_PER_RUN`` until none is left.
     """
+    for journal in children(spark, f"{path}/{WORK}"):
+        _finish(spark, journal)
     done = ""
     rewritten = 0
     while True:
-        todo = partitions_to_compact(list_files(spark, path), column, target_bytes)
+        listing = list_files(spark, path)
+        _check_layout(listing, path, column)
+        todo = partitions_to_compact(listing, column, target_bytes)
         run = todo.filter(F.col(column) > done).orderBy(column).limit(PARTITIONS_PER_RUN).collect()
         if not run:
             return rewritten
         names = [row[column] for row in run]
-        table = spark.read.parquet(path)
-        old = table.filter(_partition_text(column).isin(names))
-        staged = scratch_path(spark, "compact")
+        in_run = F.regexp_extract("path", f"/{column}=([^/]+)/", 1).isin(names)
+        files = [row["path"] for row in listing.filter(in_run).select("path").collect()]
+        old = spark.read.option("basePath", path).parquet(*files)
+        work = f"{path}/{WORK}/{uuid.uuid4().hex}"
         (
             _dealt(spark, old, column, {row[column]: row["needed"] for row in run})
             .sortWithinPartitions(column, *[c for c in sort_by if c in old.columns])
-            .write.partitionBy(column).parquet(staged)
+            .write.partitionBy(column).parquet(f"{work}/new")
         )
-        new = spark.read.schema(table.schema).parquet(staged)
+        new = spark.read.schema(old.schema).parquet(f"{work}/new")
         if fingerprint(new) != fingerprint(old):
-            raise RuntimeError(f"rewritten rows differ from the table, kept in {staged}")
-        now = partition_files(list_files(spark, path), column).filter(F.col(column).isin(names))
-        if {(r[column], r["files"], r["bytes"]) for r in now.collect()} != {
-            (r[column], r["files"], r["bytes"]) for r in run
-        }:
-            raise RuntimeError("files were added during compaction, nothing was replaced")
-        with settings(spark, _one_task_per_file(2 * target_bytes)):
-            (
-                new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(column).parquet(path)
-            )
+            delete(spark, work)
+            raise RuntimeError("rewritten rows differ from the table, nothing was replaced")
+        moves = [(row["path"], path + row["path"].split(f"{work}/new", 1)[1])
+                 for row in list_files(spark, f"{work}/new").collect()]
+        spark.createDataFrame(
+            [("move", *move) for move in moves] + [("delete", file, None) for file in files],
+            "what string, file string, target string",
+        ).coalesce(1).write.parquet(f"{work}/journal")
+        _finish(spark, work)
         spark.catalog.refreshByPath(path)
         rewritten += len(run)
         done = run[-1][column]
 
 
+def _check_layout(listing: DataFrame, path: str, column: str) -> None:
+    """Refuse a table with other folders than ``column=value``: files put back by this column
+    alone would leave the layout, and the table could not be read any more."""
+    folders = F.regexp_extract("path", r"((?:/[^/=]+=[^/]+)*)/[^/]+$", 1)
+    odd = listing.filter(~folders.rlike(f"^/{column}=[^/]+$")).first()
+    if odd is not None:
+        raise ValueError(f"{path} is not partitioned by {column} alone: {odd['path']}")
+
+
+def _finish(spark: SparkSession, work: str) -> None:
+    """Carry out a journal; every step may have been done already. Work without a whole
+    journal has changed nothing yet and is dropped."""
+    if exists(spark, f"{work}/journal/_SUCCESS"):
+        steps = spark.read.parquet(f"{work}/journal").collect()
+        for step in steps:
+            if step["what"] == "move":
+                move(spark, step["file"], step["target"])
+        for step in steps:
+            if step["what"] == "delete":
+                delete(spark, step["file"])
+    delete(spark, work)
+
+
 def _partition_text(column: str) -> Column:
     """The partition value as it stands in the folder name."""
     return F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
@@ -114,15 +145,6 @@ def _dealt(spark: SparkSession, df: DataFrame, column: str, needed: dict[str, in
     )
 
 
-def _one_task_per_file(max_bytes: int) -> dict[str, str]:
-    """Read settings that neither cut nor join files, so a copy keeps their layout."""
-    return {
-        "spark.sql.files.maxPartitionBytes": str(max_bytes),
-        "spark.sql.files.openCostInBytes": str(max_bytes),
-        "spark.sql.files.minPartitionNum": "1",
-    }
-
-
 def fingerprint(df: DataFrame) -> tuple[int, int]:
     """Row count and an order-free sum of row hashes: equal for equal multisets."""
     columns = sorted(df.columns)
@@ -131,29 +153,3 @@ def fingerprint(df: DataFrame) -> tuple[int, int]:
         F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("h"),
     ).first()
     return row["n"], int(row["h"] or 0)
-
-
-def snapshots_to_expire(log: DataFrame, older_than: Column, retain_last: int = 1) -> DataFrame:
-    """Snapshots committed before ``older_than`` that are not among the newest
-    ``retain_last`` of their table. Ranking is cut to the retained rows before the
-    shuffle, so a table with a very long log costs no more than a short one."""
-    kept = _newest(log, retain_last).select("table_name", "snapshot_id")
-    return log.filter(F.col("committed_at") < older_than).join(
-        kept, ["table_name", "snapshot_id"], "left_anti"
-    )
-
-
-def _newest(log: DataFrame, n: int) -> DataFrame:
-    order = Window.partitionBy("table_name").orderBy(
-        F.col("committed_at").desc(), F.col("snapshot_id").desc()
-    )
-    return log.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= n).drop("_rn")
-
-
-def orphan_files(listing: DataFrame, manifest: DataFrame, older_than: Column) -> DataFrame:
-    """Files that no snapshot refers to and that are older than ``older_than``. Report
-    only: nothing is deleted here."""
-    return (
-        listing.filter(F.col("modified_at") < older_than)
-        .join(manifest.select("path"), "path", "left_anti")
-    )

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.config import DEFAULT_JOIN, DEFAULT_SCORING, JoinPolicy, ScoringConfig
+from tillwatch.config import DEFAULT_SCORING, ScoringConfig
 from tillwatch.functions import geo, rules
-from tillwatch.operators.enrich import fill_defaults, user_features, user_features_size
-from tillwatch.operators.joins import left_join_unique
+from tillwatch.operators.enrich import fill_defaults, user_features
 from tillwatch.operators.velocity import velocity_per_user
 
 
@@ -51,22 +50,16 @@ def score_enriched(df: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING) -> DataF
 
 
 def score_transactions(
-    txns: DataFrame,
-    customers: DataFrame,
-    risk: DataFrame,
-    cfg: ScoringConfig = DEFAULT_SCORING,
-    policy: JoinPolicy = DEFAULT_JOIN,
+    txns: DataFrame, customers: DataFrame, risk: DataFrame, cfg: ScoringConfig = DEFAULT_SCORING,
 ) -> DataFrame:
     """Batch scoring of validated transactions, all input as one batch.
 
     Velocity, customer and location are gathered per user first, so the wide rows are
-    joined once: not moved at all when that table may be broadcast, shuffled once with
-    hot users spread when not.
+    joined once. No job runs while the plan is built: adaptive execution picks broadcast or
+    shuffle from the sizes it finds, and splits the partitions of hot users.
     """
-    size = user_features_size(txns, customers)
-    per_user = velocity_per_user(txns, cfg.velocity_seconds, size, policy)
-    features = user_features(per_user, customers, risk)
-    return score_enriched(left_join_unique(txns, features, ["user_id"], policy, size), cfg)
+    features = user_features(velocity_per_user(txns, cfg.velocity_seconds), customers, risk)
+    return score_enriched(txns.join(features, "user_id", "left"), cfg)
 
 
 def flagged(df: DataFrame) -> DataFrame:

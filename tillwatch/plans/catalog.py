@@ -10,15 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwatch.config import DEFAULT_SCORING, ScoringConfig
 from tillwatch.functions import geo, payloads, rules
 from tillwatch.operators import (
-    enrich, ingest, maintenance, merge, profiles, quality, scoring, serving, stats, velocity,
+    enrich, ingest, merge, profiles, quality, scoring, serving, stats, velocity,
 )
 from tillwatch.operators.joins import latest_by_key, left_join_unique
 from tillwatch.plans import streams
-from tillwatch.schemas import MESSAGE_KEY
+from tillwatch.schemas import MESSAGE_KEY, SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS
 from tillwatch.sources import events
 from tillwatch.sources.events import AS_OF, AS_OF_HOUR, at
 from tillwatch.sources.messages import parse_scored
@@ -129,22 +130,40 @@ def _dead_letters(values: DataFrame) -> DataFrame:
     names = ["reason", "topic", "partition", "offset", "ingest_time", "raw_json"]
     return values.select(F.json_tuple("value", *names).alias(*names)).select(
         "reason", "topic", F.col("partition").cast("long"), F.col("offset").cast("long"),
-        "ingest_time", F.col("raw_json").isNotNull().alias("has_text"),
+        "ingest_time", *_raw_fields("raw_json"),
     )
 
 
+RAW_TEXTS = ["transaction_id", "user_id", "merchant_id", "status", "timestamp"]
+
+
+def _raw_fields(text: str) -> list[Column]:
+    """The fields of a rejected message's text, and the text itself where it has none."""
+    status = F.get_json_object(text, "$.status")
+    return [
+        *[F.get_json_object(text, f"$.{name}").alias(f"raw_{name}") for name in RAW_TEXTS],
+        F.get_json_object(text, "$.amount").cast("double").alias("raw_amount"),
+        F.when(status.isNull(), F.col(text)).alias("raw_text"),
+    ]
+
+
 @query("ingest_normalize")
 def ingest_normalize(spark: SparkSession, sf: str) -> DataFrame:
     requests = txns(spark, sf).withColumns({
         "amount": F.col("amount") - 1.0,
         "status": F.when(F.col("status") != "view", F.col("status")),
     })
-    accepted, _ = ingest.normalize_ingest(requests, at(AS_OF))
-    names = ["user_id", "amount", "merchant_id", "status", "timestamp"]
+    accepted, rejected = ingest.normalize_ingest(requests, at(AS_OF))
+    numbers = ["amount", "merchant_lat", "merchant_lon"]
+    names = ["user_id", "merchant_id", "status", "timestamp", *numbers]
     fields = accepted.select(
-        F.length("transaction_id").alias("id_length"), F.json_tuple("value", *names).alias(*names)
+        F.lit("accepted").alias("side"), F.length("transaction_id").alias("id_length"),
+        F.json_tuple("value", *names).alias(*names)
+    ).withColumns({name: F.col(name).cast("double") for name in numbers})
+    refused = rejected.select(
+        F.lit("rejected").alias("side"), F.lit(0).alias("id_length"), *[n for n in names if n != "timestamp"]
     )
-    return fields.withColumn("amount", F.round(F.col("amount").cast("double"), 6))
+    return shown(fields.unionByName(refused, allowMissingColumns=True))
 
 
 # Enrichment ----------------------------------------------------------------------
@@ -309,7 +328,7 @@ def merge_profiles(spark: SparkSession, sf: str) -> DataFrame:
     daily = profiles.risk_profiles(
         txn.filter(F.col("event_time") < at(events.RISK_CUTOFF)), at(events.RISK_CUTOFF)
     )
-    late = txn.filter(F.col("event_time") >= at("2024-01-29 00:00:00"))
+    late = txn.filter(F.col("event_time") >= at(events.RISK_CUTOFF))
     return shown(profiles.merge_profiles(daily, profiles.last_locations(late)))
 
 
@@ -330,7 +349,7 @@ def emit_alerts(spark: SparkSession, sf: str) -> DataFrame:
 def emit_clean(spark: SparkSession, sf: str) -> DataFrame:
     return _fields(
         payloads.clean_payload(scored(spark, sf)),
-        ["transaction_id", "user_id", "merchant_id", "status", "plan", "is_flagged"],
+        ["transaction_id", "user_id", "merchant_id", "status", "plan", "is_flagged", "event_time"],
         ["amount", "fraud_score"],
     )
 
@@ -339,7 +358,8 @@ def emit_clean(spark: SparkSession, sf: str) -> DataFrame:
 def emit_scored(spark: SparkSession, sf: str) -> DataFrame:
     return _fields(
         payloads.scored_payload(scored(spark, sf)),
-        ["transaction_id", "user_id", "merchant_id", "status", "reasons", "is_flagged", "k_topic"],
+        ["transaction_id", "user_id", "merchant_id", "status", "reasons", "is_flagged", "k_topic",
+         "event_time", "ingest_time"],
         ["amount", "merchant_lat", "merchant_lon", "fraud_score", "k_partition", "k_offset"],
     )
 
@@ -351,6 +371,7 @@ def parse_scored_query(spark: SparkSession, sf: str) -> DataFrame:
 
 # Keyed tables --------------------------------------------------------------------
 
+BUILT = "2024-01-29 12:00:00"
 CHANGED_FROM = "2024-01-20 00:00:00"
 BATCH_FROM = "2024-01-15 00:00:00"
 BATCH_COLUMNS = ["transaction_id", "user_id", "amount", "ingest_time", *MESSAGE_KEY]
@@ -503,49 +524,13 @@ def load_count(spark: SparkSession, sf: str) -> DataFrame:
 @query("quality_gate")
 def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
     txn = txns(spark, sf)
-    return quality.quality_gate(
-        quality.stream_checks(txn, at(AS_OF))
-        + quality.profile_checks(profiles.risk_profiles(txn, at(AS_OF)), at(AS_OF))
-    )
-
-
-# Upkeep --------------------------------------------------------------------------
-
-
-@query("snapshots_to_expire")
-def snapshots_to_expire(spark: SparkSession, sf: str) -> DataFrame:
-    """One table per transaction status and one commit per transaction."""
-    log = txns(spark, sf).select(
-        F.col("status").alias("table_name"),
-        F.col("transaction_id").cast("long").alias("snapshot_id"),
-        F.col("event_time").alias("committed_at"),
-    )
-    return shown(maintenance.snapshots_to_expire(log, at("2024-01-30 12:00:00"), 7))
-
-
-def _file_path() -> Column:
-    return F.concat(
-        F.lit("/lake/event_date="), F.date_format("event_time", "yyyy-MM-dd"),
-        F.lit("/part-"), F.col("transaction_id"), F.lit(".parquet"),
-    )
-
-
-@query("orphan_files")
-def orphan_files(spark: SparkSession, sf: str) -> DataFrame:
-    """One file per transaction; those of transactions in error were never committed."""
-    txn = txns(spark, sf)
-    listing = txn.select(_file_path().alias("path"), F.col("event_time").alias("modified_at"))
-    manifest = txn.filter(F.col("status") != "error").select(_file_path().alias("path"))
-    limit = at(AS_OF) - F.expr("INTERVAL 5 DAYS")
-    return shown(maintenance.orphan_files(listing, manifest, limit))
-
-
-@query("compact_table")
-def compact_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Which days of a history with one file per transaction need a rewrite."""
-    size = (F.col("transaction_id").cast("long") % 1000 + 1) * 1000
-    listing = txns(spark, sf).select(_file_path().alias("path"), size.alias("bytes"))
-    return maintenance.partitions_to_compact(listing, "event_date", 1_000_000)
+    built = profiles.risk_profiles(txn, at(AS_OF))
+    seen = profiles.last_locations(txn)
+    # Users that the stream saw after the build of the 30th have today's time, others are stale.
+    merged = profiles.merge_profiles(built.withColumn("updated_at", at(BUILT)), seen)
+    return quality.quality_gate([
+        quality.stream_checks(txn, at(AS_OF)), quality.profile_checks(merged, at(AS_OF_HOUR)),
+    ])
 
 
 # Streaming jobs ------------------------------------------------------------------
@@ -578,13 +563,39 @@ def hot_ledger(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stored(spark: SparkSession, target: sinks.Target, arrival: str, schema: T.StructType) -> DataFrame:
+    return sinks.read_current(spark, target, ["transaction_id"], arrival, schema)
+
+
+@query("stored_dashboard")
+def stored_dashboard(spark: SparkSession, sf: str) -> DataFrame:
+    """The dashboard's hour from what the stream has stored."""
+    since = at(AS_OF_HOUR) - F.expr("INTERVAL 1 HOUR")
+    rows = sinks.read_window(
+        spark, streams.run_hot(spark, sf).transactions, ["transaction_id"], "event_time",
+        "ingest_time", since, SERVING_TRANSACTIONS)
+    return shown(serving.dashboard_stats(rows, at(AS_OF_HOUR)))
+
+
+@query("stored_fraud_scores")
+def stored_fraud_scores(spark: SparkSession, sf: str) -> DataFrame:
+    raised = _stored(spark, streams.run_hot(spark, sf).fraud_scores, "flagged_at", SERVING_FRAUD_SCORES)
+    return shown(serving.recent_fraud_scores(raised))
+
+
+@query("stored_risky_users")
+def stored_risky_users(spark: SparkSession, sf: str) -> DataFrame:
+    raised = _stored(spark, streams.run_hot(spark, sf).fraud_scores, "flagged_at", SERVING_FRAUD_SCORES)
+    return serving.top_risky_users(raised, at("2024-01-21 00:00:00"))
+
+
 @query("dlq_stream")
 def dlq_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return _dead_letters(streams.run_dlq(spark, sf)).select("reason", "partition", "offset")
+    return _dead_letters(streams.run_dlq(spark, sf)).drop("topic", "ingest_time")
 
 
 @query("lake_stream")
 def lake_stream(spark: SparkSession, sf: str) -> DataFrame:
     return shown(streams.run_lake(spark, sf).select(
-        "event_date", "transaction_id", "amount", "fraud_score", *MESSAGE_KEY
+        "event_date", "transaction_id", "amount", "event_time", "ingest_time", "fraud_score", *MESSAGE_KEY
     ))

@@ -117,6 +117,10 @@ def _time(column: str) -> str:
     return f"strftime({column}, {TIME}) AS {column}"
 
 
+def _json_time(column: str) -> str:
+    return f"strftime({column}, '%Y-%m-%dT%H:%M:%S.%fZ') AS {column}"
+
+
 def _six(column: str) -> str:
     return f"round({column}, 6) AS {column}"
 
@@ -126,8 +130,7 @@ LOCATED = _with(_TXN, _RISK, _DISTANCE)
 SCORED = "WITH " + _scored()
 SCORED_DAY = "WITH " + _scored(86_400)
 
-# A stream rejects amounts that are not positive before it counts and scores. Its times
-# have the milliseconds of the JSON text in the scored topic.
+# A stream rejects amounts that are not positive before it counts and scores.
 STREAMED = "WITH " + _scored(300, "amount > 0")
 STREAMED_DAY = "WITH " + _scored(86_400, "amount > 0")
 
@@ -142,6 +145,19 @@ CASE event_id % 101
             WHEN event_id % 101 = 5 THEN 'bad_timestamp' ELSE 'ok' END
 END"""
 
+_RAW = """
+CASE WHEN event_id % 101 = 7 THEN '' WHEN event_id % 101 NOT IN (0, 6) THEN transaction_id
+END AS raw_transaction_id,
+CASE WHEN event_id % 101 NOT IN (0, 1, 6) THEN user_id END AS raw_user_id,
+CASE WHEN event_id % 101 = 4 THEN '' WHEN event_id % 101 NOT IN (0, 6) THEN merchant_id
+END AS raw_merchant_id,
+CASE WHEN event_id % 101 NOT IN (0, 6) THEN status END AS raw_status,
+CASE WHEN event_id % 101 = 5 THEN 'nope' WHEN event_id % 101 NOT IN (0, 6)
+     THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') END AS raw_timestamp,
+CASE event_id % 101 WHEN 2 THEN 0.0 WHEN 3 THEN -1.0 WHEN 0 THEN NULL WHEN 6 THEN NULL
+     WHEN 8 THEN NULL ELSE amount END AS raw_amount,
+CASE WHEN event_id % 101 = 0 THEN '{bad' END AS raw_text"""
+
 _PROFILES = """
 profiles AS (
   SELECT user_id, avg(amount) AS avg_amount_30d, stddev_pop(amount) AS stddev_amount,
@@ -200,13 +216,18 @@ GROUP BY side, k_partition""",
     "emit_dlq": f"""{TXN}
 SELECT * FROM (
   SELECT {_KIND} AS reason, k_topic AS topic, k_partition AS "partition", k_offset AS "offset",
-         '2024-01-31 00:00:00' AS ingest_time, event_id % 101 <> 6 AS has_text FROM txn)
+         '2024-01-31 00:00:00' AS ingest_time, {_RAW} FROM txn)
 WHERE reason <> 'ok'""",
     "ingest_normalize": f"""{TXN}
-SELECT CAST(36 AS INTEGER) AS id_length, user_id, round(amount - 1.0, 6) AS amount, merchant_id,
+SELECT 'accepted' AS side, CAST(36 AS INTEGER) AS id_length, user_id, merchant_id,
        CASE WHEN status = 'view' THEN 'pending' ELSE status END AS status,
-       '2024-01-31T00:00:00.000000Z' AS "timestamp"
-FROM txn WHERE amount - 1.0 > 0""",
+       '2024-01-31T00:00:00.000000Z' AS "timestamp", round(amount - 1.0, 6) AS amount,
+       {_six('merchant_lat')}, {_six('merchant_lon')}
+FROM txn WHERE amount - 1.0 > 0
+UNION ALL
+SELECT 'rejected', 0, user_id, merchant_id, CASE WHEN status <> 'view' THEN status END, NULL,
+       round(amount - 1.0, 6), {_six('merchant_lat')}, {_six('merchant_lon')}
+FROM txn WHERE amount - 1.0 <= 0""",
     "load_customers_dim": f"""{_with(_TXN, _CUST)}
 SELECT user_id, plan, {_six('avg_amount_30d')} FROM cust""",
     "load_risk_profiles": f"""{_with(_TXN, _RISK)}
@@ -277,7 +298,7 @@ late AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id
              ORDER BY event_time DESC, k_partition DESC, k_offset DESC) AS rn
-    FROM txn WHERE event_time >= TIMESTAMP '2024-01-29 00:00:00') WHERE rn = 1
+    FROM txn WHERE event_time >= TIMESTAMP '2024-01-20 00:00:00') WHERE rn = 1
 )
 SELECT coalesce(d.user_id, l.user_id) AS user_id, round(a, 6) AS avg_amount_30d,
        round(s, 6) AS stddev_amount, round(v, 6) AS avg_velocity_1h,
@@ -292,21 +313,20 @@ SELECT user_id AS "key", transaction_id, user_id, reasons,
 FROM scored WHERE is_flagged""",
     "emit_clean": f"""{SCORED}
 SELECT user_id AS "key", transaction_id, user_id, merchant_id, status, plan,
-       CASE WHEN is_flagged THEN 'true' ELSE 'false' END AS is_flagged, amount,
-       CAST(fraud_score AS DOUBLE) AS fraud_score
+       CASE WHEN is_flagged THEN 'true' ELSE 'false' END AS is_flagged, {_json_time('event_time')},
+       amount, CAST(fraud_score AS DOUBLE) AS fraud_score
 FROM scored""",
     "emit_scored": f"""{SCORED}
 SELECT transaction_id AS "key", transaction_id, user_id, merchant_id, status, reasons,
-       CASE WHEN is_flagged THEN 'true' ELSE 'false' END AS is_flagged, k_topic, amount,
+       CASE WHEN is_flagged THEN 'true' ELSE 'false' END AS is_flagged, k_topic,
+       {_json_time('event_time')}, {_json_time('ingest_time')}, amount,
        merchant_lat, merchant_lon, CAST(fraud_score AS DOUBLE) AS fraud_score,
        CAST(k_partition AS DOUBLE) AS k_partition, CAST(k_offset AS DOUBLE) AS k_offset
 FROM scored""",
-    # The JSON text of a timestamp has milliseconds.
     "parse_scored": f"""{SCORED}
 SELECT transaction_id, user_id, {_six('amount')}, merchant_id, {_six('merchant_lat')},
        {_six('merchant_lon')}, status,
-       strftime(date_trunc('milliseconds', event_time), {TIME}) AS event_time,
-       strftime(date_trunc('milliseconds', ingest_time), {TIME}) AS ingest_time,
+       {_time('event_time')}, {_time('ingest_time')},
        fraud_score, is_flagged, reasons, k_topic, k_partition, k_offset
 FROM scored""",
     "latest_per_user": f"""{_with(_TXN, _NEWEST)}
@@ -332,7 +352,7 @@ ledger AS (
          count(*) FILTER (is_flagged) AS flagged, count(*) FILTER (score_geo > 0) AS geo_hits
   FROM scored GROUP BY 1
 )
-SELECT batch_id, total, flagged, geo_hits, {_totals('total')}, {_totals('flagged')},
+SELECT '' AS query_id, batch_id, total, flagged, geo_hits, {_totals('total')}, {_totals('flagged')},
        {_totals('geo_hits')}
 FROM ledger""",
     "recent_window_filter": f"""{TXN}
@@ -400,6 +420,13 @@ WHERE ingest_time >= TIMESTAMP '2024-01-30 23:57:13' - INTERVAL 1 HOUR""",
 SELECT count(*) AS stale FROM risk WHERE CAST(updated_at AS DATE) < DATE '2024-01-19'""",
     "load_count": f"{_with(_TXN, _CUST)} SELECT count(*) AS rows FROM cust",
     "quality_gate": f"""{_with(_TXN, _PROFILES)},
+seen AS (SELECT user_id, max(event_time) AS seen_at FROM txn GROUP BY user_id),
+merged AS (
+  SELECT greatest(coalesce(seen_at, TIMESTAMP '2024-01-29 12:00:00'),
+                  CASE WHEN p.user_id IS NOT NULL THEN TIMESTAMP '2024-01-29 12:00:00'
+                       ELSE seen_at END) AS updated_at
+  FROM profiles p FULL JOIN seen s ON s.user_id = p.user_id
+),
 verdicts AS (
   SELECT 'freshness_lag' AS "check",
          (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(event_time))) // 1000000 AS value,
@@ -407,31 +434,14 @@ verdicts AS (
   UNION ALL
   SELECT 'recent_ingest_count', count(*), 1 FROM txn
   WHERE ingest_time >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 HOUR
-  UNION ALL SELECT 'profile_min_count', count(*), 45 FROM profiles
-  UNION ALL SELECT 'profile_stale_count', 0, 0
+  UNION ALL SELECT 'profile_min_count', count(*), 45 FROM merged
+  UNION ALL SELECT 'profile_stale_count', count(*), 0 FROM merged
+            WHERE updated_at < TIMESTAMP '2024-01-30 00:00:00'
 )
 SELECT "check", CAST(value AS BIGINT) AS value, CAST(threshold AS BIGINT) AS threshold,
        CASE WHEN "check" IN ('freshness_lag', 'profile_stale_count') THEN value <= threshold
             ELSE value >= threshold END AS passed
 FROM verdicts""",
-    "snapshots_to_expire": f"""{TXN}
-SELECT table_name, snapshot_id, strftime(event_time, {TIME}) AS committed_at
-FROM (SELECT status AS table_name, event_id AS snapshot_id, event_time,
-             row_number() OVER (PARTITION BY status ORDER BY event_time DESC, event_id DESC) AS rn
-      FROM txn)
-WHERE rn > 7 AND event_time < TIMESTAMP '2024-01-30 12:00:00'""",
-    "orphan_files": f"""{TXN}
-SELECT '/lake/event_date=' || strftime(event_time, '%Y-%m-%d') || '/part-' || transaction_id
-         || '.parquet' AS path,
-       strftime(event_time, {TIME}) AS modified_at
-FROM txn
-WHERE status = 'error' AND event_time < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 5 DAY""",
-    "compact_table": f"""{TXN}
-SELECT strftime(event_time, '%Y-%m-%d') AS event_date, count(*) AS files,
-       CAST(sum((event_id % 1000 + 1) * 1000) AS BIGINT) AS bytes,
-       CAST(greatest(ceil(sum((event_id % 1000 + 1) * 1000) / 1000000.0), 1) AS INTEGER) AS needed
-FROM txn GROUP BY 1
-HAVING count(*) > greatest(ceil(sum((event_id % 1000 + 1) * 1000) / 1000000.0), 1)""",
     "velocity_5min": f"""{_with(_TXN, _snapshot(300, 'amount > 0'))}
 SELECT transaction_id, user_id, velocity_5min FROM txn JOIN velocity USING (user_id)
 WHERE amount > 0""",
@@ -447,10 +457,23 @@ SELECT count(*) AS acc_total, count(*) FILTER (is_flagged) AS acc_flagged,
 FROM scored""",
     "dlq_stream": f"""{TXN}
 SELECT * FROM (
-  SELECT {_KIND} AS reason, k_partition AS "partition", k_offset AS "offset" FROM txn)
+  SELECT {_KIND} AS reason, k_partition AS "partition", k_offset AS "offset", {_RAW} FROM txn)
 WHERE reason <> 'ok'""",
     "lake_stream": f"""{STREAMED}
 SELECT strftime(event_time, '%Y-%m-%d') AS event_date, transaction_id, {_six('amount')},
-       fraud_score, k_topic, k_partition, k_offset
+       {_time('event_time')}, {_time('ingest_time')}, fraud_score, k_topic, k_partition, k_offset
 FROM scored""",
+    "stored_dashboard": f"""{STREAMED}
+SELECT count(*) AS total_transactions,
+       CAST(sum(CASE WHEN is_flagged THEN 1 ELSE 0 END) AS BIGINT) AS flagged_count,
+       round(avg(fraud_score), 6) AS avg_fraud_score,
+       strftime(max(ingest_time), {TIME}) AS last_ingest
+FROM scored WHERE event_time >= TIMESTAMP '2024-01-30 23:57:13' - INTERVAL 1 HOUR""",
+    "stored_fraud_scores": f"""{STREAMED}
+SELECT transaction_id, user_id, fraud_score, reasons, strftime(flagged_at, {TIME}) AS flagged_at
+FROM (SELECT * FROM alerts ORDER BY flagged_at DESC, transaction_id LIMIT 20)""",
+    "stored_risky_users": f"""{STREAMED}
+SELECT user_id, count(*) AS flagged_count, max(fraud_score) AS max_score
+FROM alerts WHERE flagged_at >= TIMESTAMP '2024-01-21 00:00:00' - INTERVAL 24 HOUR
+GROUP BY user_id ORDER BY flagged_count DESC, user_id LIMIT 10""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwatch.config import DEFAULT_SCORING, ScoringConfig
 from tillwatch.operators.ingest import validated
@@ -49,7 +50,10 @@ def run_hot(
         targets, Refreshed(lambda: events.customers(txns)), Refreshed(lambda: events.risk(txns)), cfg
     )
     messages = events.message_stream(spark, sf_dir)
-    hot.start_hot(messages, ctx, f"{root}/checkpoint", ALL_AVAILABLE).awaitTermination()
+    # The derived transactions arrive two seconds after their event.
+    arrival = F.try_to_timestamp(F.col("j.timestamp")) + F.expr("INTERVAL 2 SECONDS")
+    hot.start_hot(
+        messages, ctx, f"{root}/checkpoint", ALL_AVAILABLE, ingest_time=arrival).awaitTermination()
     return targets
 
 

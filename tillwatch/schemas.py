@@ -82,6 +82,14 @@ RISK_PROFILES = T.StructType([
     T.StructField("updated_at", T.TimestampType()),
 ])
 
+# Where a user was last seen, as the scoring stream writes it.
+LOCATIONS = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("last_merchant_lat", T.DoubleType()),
+    T.StructField("last_merchant_lon", T.DoubleType()),
+    T.StructField("updated_at", T.TimestampType()),
+])
+
 PROCESSED_BATCHES = T.StructType([
     T.StructField("batch_id", T.LongType(), nullable=False),
     T.StructField("processed_at", T.TimestampType()),

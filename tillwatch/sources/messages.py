@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwatch.functions.payloads import TIMES
 from tillwatch.schemas import MESSAGE, PUBLISHED, SCORED_TXN
 
 # Topic names and the default rows taken per trigger.
@@ -60,5 +61,5 @@ def read_scored_stream(
 def parse_scored(messages: DataFrame) -> DataFrame:
     """Scored messages back to their columns."""
     return messages.select(
-        F.from_json(F.col("value").cast("string"), SCORED_TXN).alias("row")
+        F.from_json(F.col("value").cast("string"), SCORED_TXN, TIMES).alias("row")
     ).select("row.*")

@@ -20,6 +20,26 @@ log = logging.getLogger(__name__)
 RISK_TTL_SECONDS = 60
 CUSTOMER_TTL_SECONDS = 3600
 MISSING = ("TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND")
+# Ending of the folder that holds the loads of a table, and the formats loaded that way.
+LOADS = "__loads"
+PLAIN_FILES = ("parquet", "orc")
+GONE = ("FILE_NOT_EXIST", "FileNotFoundException", "PATH_NOT_FOUND")
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Folder that a catalog table of plain files points to now; None for other formats."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(
+        F.col("col_name").isin("Provider", "Location")).collect()
+    described = {row["col_name"]: row["data_type"] for row in rows}
+    return described.get("Location") if described.get("Provider", "").lower() in PLAIN_FILES else None
+
+
+def table_version(spark: SparkSession, table: str) -> str | None:
+    """What changes with each load of a catalog table: where it points to."""
+    try:
+        return table_location(spark, table)
+    except AnalysisException:
+        return None
 
 
 def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -78,7 +98,8 @@ def load_risk(spark: SparkSession, table: str, fmt: str | None = None) -> DataFr
 
 
 class Refreshed:
-    """A table that long-running queries read anew once it is older than its TTL.
+    """A table that long-running queries read anew once it is older than its TTL, or as soon
+    as ``version`` says that it points to another load.
 
     Only the DataFrame (files and plan) and the verdict on its size are held, never its
     rows. When a refresh fails the former copy is kept and the failure is logged.
@@ -87,27 +108,39 @@ class Refreshed:
     def __init__(
         self, load: Callable[[], DataFrame], ttl_seconds: float = RISK_TTL_SECONDS,
         policy: JoinPolicy = DEFAULT_JOIN, clock: Callable[[], float] = time.monotonic,
+        version: Callable[[], str | None] = lambda: None,
     ) -> None:
         self._load, self._ttl, self._policy, self._clock = load, ttl_seconds, policy, clock
+        self._version = version
         self._df: DataFrame | None = None
         self._small = False
         self._loaded_at = 0.0
+        self._loaded: str | None = None
 
     def get(self) -> DataFrame:
-        now = self._clock()
-        if self._df is None or now - self._loaded_at >= self._ttl:
+        now, newest = self._clock(), self._version()
+        if self._df is None or now - self._loaded_at >= self._ttl or newest != self._loaded:
             try:
                 df = self._load()
                 self._small = measure(df).fits(self._policy)
-                self._df, self._loaded_at = df, now
+                self._df, self._loaded_at, self._loaded = df, now, newest
             except Exception:
                 if self._df is None:
                     raise
                 log.exception("refresh failed, keeping the former copy")
         return self._df
 
+    def forget(self) -> None:
+        """Read the table anew at the next use."""
+        self._loaded_at = self._clock() - self._ttl
+
     def for_users(self, users: DataFrame) -> DataFrame:
         """The rows of ``users``, whose number the caller has checked. A large table is
         cut down next to its scan, without a shuffle."""
         df = self.get()
         return df if self._small else df.join(F.broadcast(users), "user_id", "left_semi")
+
+
+def is_gone(error: Exception) -> bool:
+    """Whether a read failed because files have been replaced since it was planned."""
+    return any(sign in str(error) for sign in GONE)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -22,7 +22,7 @@ from tillwatch.operators.scoring import score_enriched
 from tillwatch.operators.stats import batch_stats
 from tillwatch.schemas import LEDGER, SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS
 from tillwatch.session import settings
-from tillwatch.sources.tables import Refreshed
+from tillwatch.sources.tables import Refreshed, is_gone
 from tillwatch.streaming.sinks import (
     Batch, Target, conform, serving_fraud_scores, serving_transactions, write_batch,
 )
@@ -81,7 +81,17 @@ def process_batch(tagged: DataFrame, batch: Batch, ctx: HotContext) -> dict[str,
     if in_ledger(spark, ctx.targets.ledger, batch):
         return None
     with settings(spark, {"spark.sql.adaptive.enabled": "true"}):
-        return _score_and_write(tagged, batch, ctx)
+        try:
+            return _score_and_write(tagged, batch, ctx)
+        except Exception as error:
+            if not is_gone(error):
+                raise
+            # A dimension was replaced twice since it was read. Every write of the batch may
+            # be repeated, so it is scored again with what the tables hold now.
+            log.warning("a dimension's files are gone, scoring the batch again")
+            ctx.customers.forget()
+            ctx.risk.forget()
+            return _score_and_write(tagged, batch, ctx)
 
 
 def _score_and_write(tagged: DataFrame, batch: Batch, ctx: HotContext) -> dict[str, int] | None:
@@ -99,11 +109,11 @@ def _score_and_write(tagged: DataFrame, batch: Batch, ctx: HotContext) -> dict[s
         totals = batch_stats(scored).first().asDict()
 
         transactions = conform(serving_transactions(scored), SERVING_TRANSACTIONS)
-        dated = transactions.withColumn("event_date", F.to_date("event_time"))
-        write_batch(dated, to.transactions, batch, "event_date")
+        dated = transactions.withColumn("arrival_date", F.to_date("ingest_time"))
+        write_batch(dated, to.transactions, batch, "arrival_date")
         alerts = conform(serving_fraud_scores(scored), SERVING_FRAUD_SCORES)
-        dated = alerts.withColumn("event_date", F.to_date("flagged_at"))
-        write_batch(dated, to.fraud_scores, batch, "event_date")
+        dated = alerts.withColumn("arrival_date", F.to_date("flagged_at"))
+        write_batch(dated, to.fraud_scores, batch, "arrival_date")
         write_batch(last_locations(scored), to.locations, batch)
         write_batch(payloads.alerts_payload(scored), to.alerts, batch)
         write_batch(payloads.clean_payload(scored), to.clean, batch)
@@ -141,10 +151,12 @@ def in_ledger(spark: SparkSession, ledger: Target, batch: Batch) -> bool:
 
 def start_hot(
     messages: DataFrame, ctx: HotContext, checkpoint: str, trigger: dict | None = None,
-    strict_parse: bool = False,
+    strict_parse: bool = False, max_future_skew: str | None = None,
+    ingest_time: Column | None = None,
 ) -> StreamingQuery:
-    """Start the scoring query on a stream of broker messages."""
-    good, _ = validated(messages, strict_parse=strict_parse)
+    """Start the scoring query on a stream of broker messages. ``ingest_time`` replaces the
+    clock as the time of arrival, for replays that have to repeat exactly."""
+    good, _ = validated(messages, ingest_time, strict_parse, max_future_skew)
     good = good.drop("raw_json")
     tagged = velocity_stateful(good, ctx.scoring.velocity_seconds, ctx.scoring.idle_ms)
 
@@ -170,11 +182,11 @@ def start_stateful(writer: DataStreamWriter, spark: SparkSession, trigger: dict)
 
 def start_dlq(
     messages: DataFrame, target: Target, checkpoint: str, trigger: dict | None = None,
-    strict_parse: bool = False,
+    strict_parse: bool = False, max_future_skew: str | None = None,
 ) -> StreamingQuery:
     """Start the dead-letter query: its own reader and checkpoint, exactly once for
     files by the log of Spark's file sink."""
-    _, bad = validated(messages, strict_parse=strict_parse)
+    _, bad = validated(messages, None, strict_parse, max_future_skew)
     writer = (
         payloads.dlq_payload(bad).writeStream.format(target.fmt).options(**target.options)
         .option("checkpointLocation", f"{checkpoint}/dlq")

@@ -12,6 +12,7 @@ from tillwatch.config import DEFAULT_JOIN, JoinPolicy
 from tillwatch.operators.joins import latest_by_key, measure
 from tillwatch.operators.merge import has_key, new_rows, unkeyed_rows
 from tillwatch.schemas import MESSAGE_KEY, SCORED_TXN
+from tillwatch.sources.files import exists
 from tillwatch.sources.messages import parse_scored
 from tillwatch.sources.tables import or_empty
 from tillwatch.streaming.sinks import Batch, Target, write_batch
@@ -29,25 +30,30 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
     return or_empty(spark, lambda: spark.read.schema(LAKE).parquet(path), LAKE)
 
 
-def candidates(table: DataFrame, rows: DataFrame) -> DataFrame:
+def candidates(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """The part of the history that can hold these messages.
 
-    Offsets outside the batch's range cannot match, and files are written in offset
-    order, so this skips nearly all of them by their statistics. A message always has
-    the same event time, so only its own date matters either: a few dates are listed;
-    more are covered by their range, or not cut at all when some row has no date.
+    A message always has the same event time, so only the folders of the batch's dates are
+    opened, and nothing else of the table is listed. Offsets outside the batch's range cannot
+    match, and files are written in offset order, so statistics skip most files in there. A
+    batch with undated rows, or with more than ``MAX_DATES`` dates, looks through the whole
+    table by offsets and range of dates.
     """
     first, last, low, high, undated = rows.agg(
         F.min("k_offset"), F.max("k_offset"), F.min("event_date"), F.max("event_date"),
         F.count_if(F.col("event_date").isNull()),
     ).first()
-    table = table.filter(F.col("k_offset").between(first, last))
+    in_range = F.col("k_offset").between(first, last)
     if undated:
-        return table
+        return read_lake(spark, path).filter(in_range)
     listed = rows.select("event_date").distinct().limit(MAX_DATES + 1).collect()
-    if len(listed) <= MAX_DATES:
-        return table.filter(F.col("event_date").isin([row[0] for row in listed]))
-    return table.filter(F.col("event_date").between(low, high))
+    if len(listed) > MAX_DATES:
+        return read_lake(spark, path).filter(in_range & F.col("event_date").between(low, high))
+    folders = [f"{path}/event_date={row[0]:%Y-%m-%d}" for row in listed]
+    there = [folder for folder in folders if exists(spark, folder)]
+    if not there:
+        return spark.createDataFrame([], LAKE)
+    return spark.read.schema(LAKE).option("basePath", path).parquet(*there).filter(in_range)
 
 
 def merge_batch(
@@ -67,7 +73,7 @@ def merge_batch(
         keyed = rows.filter(has_key())
         size = measure(keyed.select(*MESSAGE_KEY))
         if size.rows:
-            known = candidates(read_lake(spark, path), keyed)
+            known = candidates(spark, path, keyed)
             fresh = new_rows(known, keyed, small_source=size.fits(policy))
             (
                 fresh.hint("rebalance", "event_date").write.mode("append")
@@ -94,14 +100,21 @@ def merge_into_table(batch_df: DataFrame, table: str) -> None:
 
 
 def start_lake(
-    messages: DataFrame, path: str, checkpoint: str, quarantine: Target | None = None,
-    trigger: dict | None = None,
+    messages: DataFrame, path: str | None, checkpoint: str, quarantine: Target | None = None,
+    trigger: dict | None = None, table: str | None = None,
 ) -> StreamingQuery:
-    """Start the history writer on a stream of scored messages."""
+    """Start the history writer on a stream of scored messages: into a folder of files, or
+    with ``table`` by MERGE into a catalog table that supports it."""
 
     def on_batch(df: DataFrame, number: int) -> None:
         query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        merge_batch(df, path, quarantine, Batch(query, number))
+        if table is None:
+            merge_batch(df, path, quarantine, Batch(query, number))
+            return
+        merge_into_table(df, table)
+        unkeyed = unkeyed_rows(df)
+        if quarantine is not None and not unkeyed.isEmpty():
+            write_batch(unkeyed, quarantine, Batch(query, number))
 
     return (
         parse_scored(messages).writeStream.foreachBatch(on_batch)

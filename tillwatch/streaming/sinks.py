@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwatch.operators.joins import latest_by_key
+from tillwatch.schemas import SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS
+from tillwatch.sources.tables import or_empty
+
+
+# How far before its own time a row may arrive.
+MAX_SKEW = "1 DAY"
 
 
 @dataclass(frozen=True)
@@ -64,8 +70,10 @@ def write_batch(
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast to the types of a serving table; money becomes DECIMAL(18,2) here."""
-    return df.select(*[F.col(f.name).cast(_stored(f.dataType)).alias(f.name) for f in schema])
+    """The columns of a serving table in their types; money becomes DECIMAL(18,2) here. A
+    value that its type cannot hold becomes NULL and stops nothing; validation has rejected
+    such amounts before."""
+    return df.select(*[F.col(f.name).try_cast(_stored(f.dataType)).alias(f.name) for f in schema])
 
 
 def _stored(kind: T.DataType) -> T.DataType:
@@ -74,48 +82,70 @@ def _stored(kind: T.DataType) -> T.DataType:
 
 def serving_transactions(scored: DataFrame) -> DataFrame:
     """All scored rows with the columns of the serving table."""
-    return scored.select(
-        "transaction_id", "user_id", "amount", "merchant_id", "merchant_lat", "merchant_lon",
-        "status", "event_time", "ingest_time", "plan", "velocity_5min", "amount_zscore",
-        "geo_speed_kmh", "fraud_score", "is_flagged",
-    )
+    return scored.select(*SERVING_TRANSACTIONS.fieldNames())
 
 
 def serving_fraud_scores(scored: DataFrame) -> DataFrame:
     """Flagged rows as alerts that nobody has reviewed yet."""
-    return scored.filter("is_flagged").select(
-        "transaction_id", "user_id", "fraud_score", "reasons",
-        F.col("ingest_time").alias("flagged_at"),
-        F.lit(None).cast("boolean").alias("reviewed"),
-    )
+    return scored.filter("is_flagged").withColumns({
+        "flagged_at": F.col("ingest_time"), "reviewed": F.lit(None).cast("boolean"),
+    }).select(*SERVING_FRAUD_SCORES.fieldNames())
 
 
 def read_current(
-    spark: SparkSession, target: Target, keys: list[str], order: list[str | Column]
+    spark: SparkSession, target: Target, keys: list[str], arrival: str,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """A file-based serving table with the newest row of each key."""
-    return latest_by_key(_stored_rows(spark, target), keys, [*order, "batch"]).drop(
-        "batch", "event_date"
-    )
+    return _newest(_stored_rows(spark, target, schema), keys, arrival)
+
+
+def read_arrived(
+    spark: SparkSession, target: Target, keys: list[str], arrival: str, since: Column,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """The newest row of each key among what arrived at or after ``since``, whatever its event
+    time. Only the folders of those days are listed."""
+    rows = _stored_rows(spark, target, schema)
+    recent = rows.filter((F.col(arrival) >= since) & (F.col("arrival_date") >= F.to_date(since)))
+    return _newest(recent, keys, arrival)
 
 
 def read_window(
-    spark: SparkSession, target: Target, keys: list[str], time: str, arrival: str, since: Column
+    spark: SparkSession, target: Target, keys: list[str], time: str, arrival: str, since: Column,
+    schema: T.StructType | None = None, skew: str = MAX_SKEW,
 ) -> DataFrame:
     """Current rows with ``time`` at or after ``since``, without reading the history.
 
     A newer version of a row that lies in the window arrived after that row. So the
-    earliest arrival among the window's rows (a scan cut to its dates) bounds the
-    versions that can matter, and only those are reduced to one row per key.
+    earliest arrival among the window's rows bounds the versions that can matter, and only
+    those are reduced to one row per key. No row arrives more than ``skew`` before its own
+    time (validation rejects such events), which bounds the days that are looked through.
     """
-    rows = _stored_rows(spark, target)
+    rows = _stored_rows(spark, target, schema)
     in_window = F.col(time) >= since
-    on_dates = F.col("event_date") >= since.cast("date")
-    first = rows.filter(in_window & on_dates).agg(F.min(arrival)).first()[0]
-    later = rows.filter(F.lit(False)) if first is None else rows.filter(F.col(arrival) >= first)
-    current = latest_by_key(later, keys, [arrival, "batch"])
-    return current.filter(in_window).drop("batch", "event_date")
-
-
-def _stored_rows(spark: SparkSession, target: Target) -> DataFrame:
-    return spark.read.format(target.fmt).options(**target.options).load(target.location)
+    on_days = F.col("arrival_date") >= F.to_date(since - F.expr(f"INTERVAL {skew}"))
+    first = rows.filter(in_window & on_days).agg(F.min(arrival)).first()[0]
+    if first is None:
+        later = rows.filter(F.lit(False))
+    else:
+        later = rows.filter((F.col(arrival) >= first) & (F.col("arrival_date") >= F.to_date(F.lit(first))))
+    return _newest(later, keys, arrival).filter(in_window)
+
+
+def _newest(rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
+    """Last write wins: by arrival, then by the number of the micro-batch."""
+    number = F.regexp_extract(F.col("batch"), r"-(\d+)$", 1).cast("long")
+    order = [arrival, number.desc_nulls_last(), "batch"]
+    return latest_by_key(rows, keys, order).drop("batch", "arrival_date")
+
+
+def _stored_rows(spark: SparkSession, target: Target, schema: T.StructType | None) -> DataFrame:
+    reader = spark.read.format(target.fmt).options(**target.options)
+    if schema is None:
+        return reader.load(target.location)
+    declared = T.StructType([
+        *[T.StructField(f.name, _stored(f.dataType)) for f in schema],
+        T.StructField("batch", T.StringType()), T.StructField("arrival_date", T.DateType()),
+    ])
+    return or_empty(spark, lambda: reader.schema(declared).load(target.location), declared)
