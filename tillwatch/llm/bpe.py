@@ -24,6 +24,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -33,8 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwatch.llm.common import kept
+
 SEGMENT = 1 << 20
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 LONG_WORD = 400
 
 # White space as the pattern means it. A blank between two other characters always starts a
@@ -94,7 +97,8 @@ class Coder:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m")
         self._table("v", {"id": np.fromiter(self.ids.values(), np.int32), "hex": [t.hex() for t in self.ids]})
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
-        self.known_words: dict[str, bytes] = {}
+        # Ids as int32 bytes and as decimal text, by word and by piece.
+        self.known_words: dict[str, tuple[bytes, str]] = {}
         self.known_pieces: dict[str, tuple[bytes, str]] = {}
 
     def _table(self, name: str, columns: dict) -> None:
@@ -134,31 +138,44 @@ class Coder:
                     heapq.heappush(heap, (made, left, tokens[left], tokens[right]))
         return np.array([t for t in tokens if t >= 0], np.int32)
 
+    def words_of(self, piece: str) -> list[str]:
+        """The pattern's matches in a piece; letters after at most one blank are one."""
+        return [piece] if piece.isalpha() or piece[:1] == " " and piece[1:].isalpha() else self.words(piece)
+
     def learn(self, pieces: set[str]) -> None:
         """Encodes what is new among ``pieces``."""
-        new = {p: self.words(p) for p in pieces if p not in self.known_pieces}
+        new = {p: self.words_of(p) for p in pieces if p not in self.known_pieces}
         if len(self.known_pieces) + len(new) > REMEMBERED:
-            self.known_pieces.clear()
-            new = {p: self.words(p) for p in pieces}
+            self.known_pieces = _first_half(self.known_pieces)
+            new = {p: self.words_of(p) for p in pieces if p not in self.known_pieces}
         unknown = {w for words in new.values() for w in words if w not in self.known_words}
         if len(self.known_words) + len(unknown) > REMEMBERED:
-            self.known_words.clear()
-            unknown = {w for words in new.values() for w in words}
-        ordinary = []
+            self.known_words = _first_half(self.known_words)
+            unknown = {w for words in new.values() for w in words if w not in self.known_words}
+        ordinary, data = [], []
         for word in unknown:
-            data = word.encode()
-            if data in self.ids:
-                self.known_words[word] = np.int32(self.ids[data]).tobytes()
-            elif len(data) > LONG_WORD:
-                self.known_words[word] = self.contract_long(data).tobytes()
+            given = word.encode()
+            if given in self.ids:
+                self._keep(word, np.array([self.ids[given]], np.int32))
+            elif len(given) > LONG_WORD:
+                self._keep(word, self.contract_long(given))
             else:
                 ordinary.append(word)
+                data.append(given)
         if ordinary:
-            for word, ids in zip(ordinary, self.contract([w.encode() for w in ordinary])):
-                self.known_words[word] = ids.tobytes()
+            for word, ids in zip(ordinary, self.contract(data)):
+                self._keep(word, ids)
+        known = self.known_words
         for piece, words in new.items():
-            ids = b"".join([self.known_words[w] for w in words])
-            self.known_pieces[piece] = ids, " ".join(map(str, np.frombuffer(ids, np.int32).tolist()))
+            if len(words) == 1:
+                self.known_pieces[piece] = known[words[0]]
+            else:
+                found = [known[w] for w in words]
+                self.known_pieces[piece] = (
+                    b"".join([i for i, _ in found]), " ".join([t for _, t in found]))
+
+    def _keep(self, word: str, ids: np.ndarray) -> None:
+        self.known_words[word] = ids.tobytes(), " ".join(map(str, ids.tolist()))
 
     def encode(self, texts: list[str]) -> Iterator[list[tuple[bytes, str]]]:
         """Per text its pieces, each as (ids as int32 bytes, ids as decimal text)."""
@@ -180,15 +197,14 @@ class Coder:
         return out
 
 
-_coders: dict[tuple[bytes, str], Coder] = {}
+def _first_half(known: dict) -> dict:
+    """What was met first, which is what is met most."""
+    return dict(islice(known.items(), REMEMBERED // 2))
 
 
 def _coder(ranks: bytes, pattern: str) -> Coder:
-    key = (hashlib.sha256(ranks).digest(), pattern)
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = Coder(ranks, pattern)
-    return _coders[key]
+    key = ("bpe", hashlib.sha256(ranks).digest(), pattern)
+    return kept(key, lambda: Coder(ranks, pattern))
 
 
 def segments(text: str) -> Iterator[str]:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable, Hashable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.operators.joins import measure
 from tillwatch.config import JoinPolicy
+from tillwatch.operators.joins import measure
 
 # A side within these limits may be sent to every executor.
 SMALL = JoinPolicy(max_broadcast_rows=400_000, max_broadcast_bytes=24 << 20)
@@ -25,3 +29,23 @@ def small(df: DataFrame) -> DataFrame:
 def crc32_of_id(doc_id: str = "doc_id") -> Column:
     """CRC-32 of the id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+
+
+_Kept = TypeVar("_Kept")
+_kept: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], _Kept]) -> _Kept:
+    """What a Python worker keeps between its tasks. There is one place per worker, so that
+    operators that run one after the other do not add up in its memory."""
+    if key not in _kept:
+        release()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """Empties that place."""
+    if _kept:
+        _kept.clear()
+        gc.collect()

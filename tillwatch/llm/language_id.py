@@ -21,6 +21,7 @@ teach nothing; repeated rows count one by one; other columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import crc32_of_id
+from tillwatch.llm.common import crc32_of_id, kept
 from tillwatch.session import written
 
 ORDER = 4
@@ -191,22 +192,16 @@ class Scorer:
         return out
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def train(documents: DataFrame) -> dict[str, Model]:
     counts = _bounded(gram_counts(documents)).orderBy("lang", "gram").toPandas()
     return {lang: Model(rows["gram"].tolist(), rows["n"].to_numpy()) for lang, rows in counts.groupby("lang")}
 
 
 def _entropies(documents: DataFrame, models: Broadcast) -> DataFrame:
-    name = models.id if hasattr(models, "id") else id(models)
+    name = uuid.uuid4().hex
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = Scorer(models.value)
-        scorer = _scorers[name]
+        scorer = kept(("language", name), lambda: Scorer(models.value))
         for batch in batches:
             out = []
             for first in range(0, len(batch), 500):

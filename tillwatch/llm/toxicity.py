@@ -31,7 +31,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import crc32_of_id
+from tillwatch.llm.common import crc32_of_id, kept
 from tillwatch.session import written
 
 TRAIN_ROWS = 10_000
@@ -175,21 +175,10 @@ class Differences(dict):
                 float(np.log1p(len(words)))]
 
 
-_loaded: dict[tuple[bytes, bytes], Differences] = {}
-
-
-def _differences(dictionaries: tuple[bytes, bytes]) -> Differences:
-    """The worker's own copy, kept between its tasks."""
-    if dictionaries not in _loaded:
-        _loaded.clear()
-        _loaded[dictionaries] = Differences(*dictionaries)
-    return _loaded[dictionaries]
-
-
 def _feature_column(dictionaries: tuple[bytes, bytes]) -> Callable[[Column], Column]:
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
-        known = _differences(dictionaries)
+        known = kept(("toxicity", *dictionaries), lambda: Differences(*dictionaries))
         return pd.Series([known.features(t) for t in texts])
 
     return features
