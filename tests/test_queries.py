@@ -124,14 +124,11 @@ def test_newest_rows_are_cut_before_the_shuffle(spark):
         assert "WindowGroupLimit" in text and "Partial" in text, name
 
 
-def test_scoring_joins_the_transactions_once(spark):
-    """The facts are scanned for the newest time, the count and the rows, and the wide rows
-    take part in one join, which run-time sizes turn into a broadcast."""
-    df = QUERIES["sink_transactions"](spark, TESTDATA)
-    assert "BroadcastExchange" not in plan(df)
-    assert plan(df).count("merchant_lat") and plan(df).count("Exchange hashpartitioning") <= 8
-    df.collect()
-    assert "BroadcastHashJoin" in plan(df)
+def test_scoring_reads_the_wide_rows_once(spark):
+    """Newest time, count and dimensions take a few columns; the rows themselves are read once."""
+    scans = plan(QUERIES["sink_transactions"](spark, TESTDATA)).split("FileScan")[1:]
+    schemas = [scan.split("ReadSchema: ")[1].split("\n")[0] for scan in scans]
+    assert sum("event_type" in schema for schema in schemas) == 1 and len(schemas) <= 5
 
 
 def test_a_message_is_parsed_once(spark):
