@@ -198,6 +198,24 @@ def _totals(column: str) -> str:
     return f"CAST(sum({column}) OVER (ORDER BY batch_id) AS BIGINT) AS acc_{column}"
 
 
+def _streamed_velocity(seconds: int) -> str:
+    """The rule per micro-batch: a user's events so far, cut to the span before the newest."""
+    return f"""{TXN},
+batches AS (
+  SELECT *, CASE WHEN event_time < TIMESTAMP '2024-01-11 00:00:00' THEN 0
+                 WHEN event_time < TIMESTAMP '2024-01-21 00:00:00' THEN 1 ELSE 2 END AS batch
+  FROM txn WHERE amount > 0
+),
+present AS (SELECT user_id, batch, max(event_time) AS newest FROM batches GROUP BY user_id, batch),
+velocity AS (
+  SELECT p.user_id, p.batch, count(*) AS velocity_5min
+  FROM present p JOIN batches b ON b.user_id = p.user_id AND b.batch <= p.batch
+  WHERE b.event_time >= p.newest - INTERVAL {seconds} SECOND
+  GROUP BY p.user_id, p.batch
+)
+SELECT transaction_id, user_id, velocity_5min FROM batches JOIN velocity USING (user_id, batch)"""
+
+
 ORACLES: dict[str, str] = {
     "project_kafka_meta": f"""{TXN}
 SELECT k_topic, CAST(k_partition AS INTEGER) AS k_partition, k_offset, transaction_id FROM txn""",
@@ -442,12 +460,8 @@ SELECT "check", CAST(value AS BIGINT) AS value, CAST(threshold AS BIGINT) AS thr
        CASE WHEN "check" IN ('freshness_lag', 'profile_stale_count') THEN value <= threshold
             ELSE value >= threshold END AS passed
 FROM verdicts""",
-    "velocity_5min": f"""{_with(_TXN, _snapshot(300, 'amount > 0'))}
-SELECT transaction_id, user_id, velocity_5min FROM txn JOIN velocity USING (user_id)
-WHERE amount > 0""",
-    "velocity_5min_24h": f"""{_with(_TXN, _snapshot(86400, 'amount > 0'))}
-SELECT transaction_id, user_id, velocity_5min FROM txn JOIN velocity USING (user_id)
-WHERE amount > 0""",
+    "velocity_5min": _streamed_velocity(300),
+    "velocity_5min_24h": _streamed_velocity(86400),
     "hot_fanout": f"""{STREAMED_DAY}
 SELECT transaction_id, user_id, fraud_score, is_flagged, reasons, k_topic, k_partition, k_offset
 FROM scored""",

@@ -11,7 +11,7 @@ from tillwatch.config import DEFAULT_SCORING, ScoringConfig
 from tillwatch.operators.ingest import validated
 from tillwatch.session import scratch_path
 from tillwatch.sources import events
-from tillwatch.sources.messages import parse_scored, read_scored_stream
+from tillwatch.sources.messages import parse_scored, read_raw_stream, read_scored_stream
 from tillwatch.sources.tables import Refreshed
 from tillwatch.streaming import hot, lake, sinks, state
 from tillwatch.streaming.sinks import Batch, Target
@@ -19,22 +19,36 @@ from tillwatch.streaming.sinks import Batch, Target
 ALL_AVAILABLE = {"availableNow": True}
 
 
+# Where the events are cut into the micro-batches of the velocity stream.
+VELOCITY_CUTS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00"]
+
+
 def run_velocity(spark: SparkSession, sf_dir: str, seconds: int = 300) -> DataFrame:
-    """Transactions with the velocity that the state operator gave them."""
+    """Transactions with the velocity that the state operator gave them, over three
+    micro-batches in event order. The query is started anew for each, so the state passes
+    through its checkpoint."""
     root = scratch_path(spark, "velocity")
-    good, _ = validated(events.message_stream(spark, sf_dir))
+    raw = events.messages(events.transactions(spark, sf_dir))
     out = Target(f"{root}/out")
+    numbers = iter(range(1_000_000))
 
-    def on_batch(df: DataFrame, number: int) -> None:
+    def on_batch(df: DataFrame, _: int) -> None:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            sinks.write_batch(state.stamp_velocity(df), out, Batch("velocity", number))
+            sinks.write_batch(state.stamp_velocity(df), out, Batch("velocity", next(numbers)))
         finally:
             df.unpersist()
 
-    writer = state.velocity_stateful(good, seconds).writeStream.foreachBatch(on_batch)
-    writer = writer.option("checkpointLocation", f"{root}/checkpoint")
-    hot.start_stateful(writer, spark, ALL_AVAILABLE).awaitTermination()
+    low = None
+    for high in [*VELOCITY_CUTS, None]:
+        part = raw if low is None else raw.filter(F.col("event_time") >= events.at(low))
+        part = part if high is None else part.filter(F.col("event_time") < events.at(high))
+        part.drop("event_time").write.mode("append").parquet(f"{root}/raw")
+        good, _ = validated(read_raw_stream(spark, f"{root}/raw"))
+        writer = state.velocity_stateful(good, seconds).writeStream.foreachBatch(on_batch)
+        writer = writer.option("checkpointLocation", f"{root}/checkpoint")
+        hot.start_stateful(writer, spark, ALL_AVAILABLE).awaitTermination()
+        low = high
     return spark.read.parquet(out.location)
 
 
