@@ -11,7 +11,8 @@ what it merges to. A word that is a vocabulary entry itself is that one id. Word
 by the same rule with a heap.
 
 Memory: texts are cut between words into segments of ``SEGMENT`` characters and worked on in
-groups of about that size; a worker remembers at most ``REMEMBERED`` words.
+groups of about that size; ids leave in batches of about that much text; a worker remembers at
+most ``REMEMBERED`` words.
 
 Defined results: a null text is encoded as an empty one (no ids, no bytes); lone surrogates
 cannot occur in Spark strings; a null id column decodes to null; other columns pass through.
@@ -29,6 +30,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +39,9 @@ from pyspark.sql import types as T
 from tillwatch.llm.common import kept
 
 SEGMENT = 1 << 20
-REMEMBERED = 400_000
+REMEMBERED = 150_000
+# Words contracted by one query.
+WORD_BLOCK = 20_000
 LONG_WORD = 400
 
 # White space as the pattern means it. A blank between two other characters always starts a
@@ -91,7 +95,7 @@ class Coder:
         ] or np.zeros((0, 3)), np.int32)
         self.merged = {(int(a), int(b)): int(m) for a, b, m in merges}
         self.db = duckdb.connect(":memory:", config={
-            "threads": 1, "memory_limit": "600MB", "preserve_insertion_order": False})
+            "threads": 1, "memory_limit": "300MB", "preserve_insertion_order": False})
         given = {"first": merges[:, 0], "second": merges[:, 1], "merged": merges[:, 2].astype(np.int64)}
         self._table("m", given)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m")
@@ -113,6 +117,7 @@ class Coder:
         self._table("given", {"word": owner, "pos": (np.arange(len(data)) - first[owner]),
                               "token": self.bytes[data]})
         found = self.db.execute(CONTRACT).fetchnumpy()
+        self.db.unregister("given")
         tokens = np.asarray(found["token"], np.int32)
         return np.split(tokens, np.searchsorted(found["word"], np.arange(1, len(words))))
 
@@ -162,8 +167,9 @@ class Coder:
             else:
                 ordinary.append(word)
                 data.append(given)
-        if ordinary:
-            for word, ids in zip(ordinary, self.contract(data)):
+        for first in range(0, len(ordinary), WORD_BLOCK):
+            block = slice(first, first + WORD_BLOCK)
+            for word, ids in zip(ordinary[block], self.contract(data[block])):
                 self._keep(word, ids)
         known = self.known_words
         for piece, words in new.items():
@@ -194,6 +200,7 @@ class Coder:
         out = [b""] * len(ids)
         for text, data in self.db.execute(DECODE).fetchall():
             out[text] = bytes.fromhex(data)
+        self.db.unregister("tokens")
         return out
 
 
@@ -229,6 +236,16 @@ def _groups(texts: pa.Array) -> Iterator[list[tuple[int, str]]]:
     yield group
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in batches of about ``SEGMENT`` bytes of ``column``."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // SEGMENT
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for first, last in zip(cuts[:-1], cuts[1:]):
+            yield batch.slice(first, last - first)
+
+
 class Vocabulary:
     """A rank file (read on the driver, sent to the executors) and its pattern."""
 
@@ -241,7 +258,7 @@ class Vocabulary:
 
         def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(ranks.value, pattern)
-            for batch in batches:
+            for batch in _slices(batches, column):
                 parts: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
                 for group in _groups(batch.column(column)):
                     for (row, _), pieces in zip(group, coder.encode([t for _, t in group])):
