@@ -39,9 +39,9 @@ from pyspark.sql import types as T
 from tillwatch.llm.common import kept
 
 SEGMENT = 1 << 20
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 # Words contracted by one query.
-WORD_BLOCK = 20_000
+WORD_BLOCK = 50_000
 LONG_WORD = 400
 
 # White space as the pattern means it. A blank between two other characters always starts a

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,10 @@ def kept(key: Hashable, make: Callable[[], _Kept]) -> _Kept:
 
 
 def release() -> None:
-    """Empties that place."""
-    if _kept:
-        _kept.clear()
-        gc.collect()
+    """Empties that place and gives the freed memory back to the system."""
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
