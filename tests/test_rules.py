@@ -173,7 +173,7 @@ def test_thresholds_are_strict_and_the_cutoff_inclusive(
 
 
 def test_thresholds_can_be_set(spark):
-    cfg = ScoringConfig.from_env({"FRAUD_VELOCITY_THRESHOLD": "1", "FRAUD_SCORE_CUTOFF": "40"})
+    cfg = ScoringConfig.from_env({"TILLWATCH_VELOCITY_THRESHOLD": "1", "TILLWATCH_SCORE_CUTOFF": "40"})
     row = scoring.score(features(spark, [(2, 0.0, 0.0)]), cfg).first()
     assert (row["fraud_score"], row["is_flagged"]) == (40, True)
 

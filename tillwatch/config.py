@@ -25,10 +25,10 @@ class ScoringConfig:
         env = os.environ if env is None else env
         base = cls()
         return cls(
-            velocity_threshold=int(env.get("FRAUD_VELOCITY_THRESHOLD", base.velocity_threshold)),
-            zscore_threshold=float(env.get("FRAUD_ZSCORE_THRESHOLD", base.zscore_threshold)),
-            geo_kmh_threshold=float(env.get("FRAUD_GEO_KMH_THRESHOLD", base.geo_kmh_threshold)),
-            cutoff=int(env.get("FRAUD_SCORE_CUTOFF", base.cutoff)),
+            velocity_threshold=int(env.get("TILLWATCH_VELOCITY_THRESHOLD", base.velocity_threshold)),
+            zscore_threshold=float(env.get("TILLWATCH_ZSCORE_THRESHOLD", base.zscore_threshold)),
+            geo_kmh_threshold=float(env.get("TILLWATCH_GEO_KMH_THRESHOLD", base.geo_kmh_threshold)),
+            cutoff=int(env.get("TILLWATCH_SCORE_CUTOFF", base.cutoff)),
         )
 
 

@@ -48,23 +48,6 @@ SCORED_TXN = T.StructType([
     T.StructField("k_offset", T.LongType()),
 ])
 
-VELOCITY_OUT = T.StructType([
-    T.StructField("transaction_id", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("merchant_id", T.StringType()),
-    T.StructField("merchant_lat", T.DoubleType()),
-    T.StructField("merchant_lon", T.DoubleType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("event_time", T.TimestampType()),
-    T.StructField("ingest_time", T.TimestampType()),
-    T.StructField("velocity_5min", T.LongType()),
-    T.StructField("raw_json", T.StringType()),
-    T.StructField("k_topic", T.StringType()),
-    T.StructField("k_partition", T.LongType()),
-    T.StructField("k_offset", T.LongType()),
-])
-
 CUSTOMERS = T.StructType([
     T.StructField("user_id", T.StringType()),
     T.StructField("plan", T.StringType()),

@@ -18,7 +18,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tillwatch.config import DEFAULT_JOIN, DEFAULT_SCORING, JoinPolicy
 from tillwatch.operators.joins import Size, left_join_unique
-from tillwatch.schemas import VELOCITY_OUT
 
 ROW, USER = "row", "user"
 _STATE = "event_us array<bigint>, n array<bigint>"
@@ -85,8 +84,7 @@ def velocity_stateful(good: DataFrame, seconds: int = 300, idle_ms: int = 600_00
         )
         .withColumn("_kind", F.lit(USER))
     )
-    payload = [f for f in VELOCITY_OUT if f.name in good.columns]
-    rows = good.select(*[F.col(f.name).cast(f.dataType) for f in payload], F.lit(ROW).alias("_kind"))
+    rows = good.withColumns({"k_partition": F.col("k_partition").cast("long"), "_kind": F.lit(ROW)})
     return rows.unionByName(per_user, allowMissingColumns=True)
 
 
@@ -104,5 +102,4 @@ def stamp_velocity(
     tagged: DataFrame, policy: JoinPolicy = DEFAULT_JOIN, size: Size | None = None
 ) -> DataFrame:
     """Micro-batch of ``velocity_stateful`` to transactions with their velocity."""
-    joined = left_join_unique(batch_rows(tagged), batch_users(tagged), ["user_id"], policy, size)
-    return joined.select(*[c for c in VELOCITY_OUT.fieldNames() if c in joined.columns])
+    return left_join_unique(batch_rows(tagged), batch_users(tagged), ["user_id"], policy, size)
