@@ -57,3 +57,20 @@ def test_probabilities_sum_to_one():
     scorer.learn(["abc", "abd", "zzz"])
     seen, other, odd = scorer.known[:, 0]
     assert seen > other > odd and np.exp(seen) + np.exp(other) <= 1.0
+
+
+def test_models_as_tables_use_every_gram(spark, edge, monkeypatch):
+    """Many grams, most of them seen once: cross-entropies are those of models built whole."""
+    def found():
+        return sorted(((r["doc_id"], r["lang_pred"], r["rejected"], r["score"], r["cross_entropy"])
+                       for r in K.identify(data).collect()), key=repr)
+
+    han = [(200 + i, "".join(chr(0x4E00 + (37 * i + 101 * j * j) % 9000) for j in range(40)), "zh", "") for i in range(40)]
+    data = edge.unionByName(spark.createDataFrame(han, edge.schema))
+    expected = found()
+    monkeypatch.setattr(K, "SENT_GRAMS", 50)
+    monkeypatch.setattr(K, "train", None)
+    got = found()
+    assert [g[:3] for g in got] == [e[:3] for e in expected] and len(got) == 89
+    for g, e in zip(got, expected):
+        assert g[3] == pytest.approx(e[3], abs=1e-9) and g[4] == (None if e[4] is None else pytest.approx(e[4], abs=1e-9))

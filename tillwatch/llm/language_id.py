@@ -10,8 +10,10 @@ and the lowest wins; ties go to the language that sorts first. ``score`` is the
 of the likelihood at ``SHARPNESS`` letters. ``rejected`` marks texts whose cross-entropy is
 beyond what training rows of that language show (mean plus four deviations).
 
-The counts grow with the input; the model is bounded by alphabets. Above ``MAX_GRAMS`` grams
-the rarest are left out of the model, which is checked before anything is collected.
+Every counted gram is in the model, whatever its size. Up to ``SENT_GRAMS`` grams, which is
+checked before anything is collected, the driver builds the models and sends them to all
+workers. Beyond, Spark builds them as tables by gram and by context, and the texts' grams are
+joined to these. Both ways give the same cross-entropies.
 
 Defined results: words are runs of letters, lower-cased; a null text or one without a letter
 is ``und`` with score 0; without training rows all rows are ``und``; rows with a null language
@@ -32,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import crc32_of_id, kept
+from tillwatch.operators.joins import salted_left_join
 from tillwatch.session import written
 
 ORDER = 4
 FOLDS, HELD_OUT = 4, 2
-MAX_GRAMS = 4_000_000
+# Grams of all languages whose models may go through the driver.
+SENT_GRAMS = 1_000_000
 SHARPNESS = 20.0
 REMEMBERED = 150_000
 # Words of a batch that are counted before their grams are handed on.
@@ -86,17 +90,6 @@ def gram_counts(documents: DataFrame) -> DataFrame:
         F.sum("n").alias("n")), "grams")
 
 
-def _bounded(counts: DataFrame) -> DataFrame:
-    """The grams above the smallest count that leaves at most MAX_GRAMS; normally all."""
-    if counts.count() <= MAX_GRAMS:
-        return counts
-    kept, least = 0, 1
-    by_count = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("k"))
-    for row in by_count.orderBy(F.col("n").desc()).collect():
-        kept, least = kept + row["k"], row["n"] if kept + row["k"] <= MAX_GRAMS else least
-    return counts.filter(F.col("n") >= least)
-
-
 def _hash(codes: np.ndarray) -> np.ndarray:
     """64-bit hash of each row of letters; the length is part of it."""
     out = np.full(len(codes), codes.shape[1] + 1, np.uint64)
@@ -192,9 +185,98 @@ class Scorer:
         return out
 
 
-def train(documents: DataFrame) -> dict[str, Model]:
-    counts = _bounded(gram_counts(documents)).orderBy("lang", "gram").toPandas()
-    return {lang: Model(rows["gram"].tolist(), rows["n"].to_numpy()) for lang, rows in counts.groupby("lang")}
+def train(counts: DataFrame) -> dict[str, Model]:
+    rows = counts.orderBy("lang", "gram").toPandas()
+    return {lang: Model(of["gram"].tolist(), of["n"].to_numpy()) for lang, of in rows.groupby("lang")}
+
+
+def model_tables(counts: DataFrame, langs: list[str]) -> dict[int, tuple[DataFrame, DataFrame]]:
+    """By order: each gram's log-probabilities and each context's log-weights, as maps from a
+    language's place in ``langs``."""
+    place = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1
+    of_order = {ORDER: written(counts.select(place.alias("lang"), "gram", "n"), "order")}
+    for k in range(ORDER - 1, 0, -1):
+        of_order[k] = written(of_order[k + 1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(
+            F.count(F.lit(1)).alias("n")), "order")
+
+    def by_place(df: DataFrame, key: str, value: str) -> DataFrame:
+        return written(df.groupBy(key).agg(F.map_from_entries(F.collect_list(
+            F.struct("lang", F.log(value)))).alias("by_lang")), "model")
+
+    tables, lower = {}, None
+    once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    for k in range(1, ORDER + 1):
+        grams = of_order[k].withColumn("context", F.substring("gram", 1, k - 1))
+        discounts = of_order[k].groupBy("lang").agg(
+            F.when((once > 0) & (twice > 0), once / (once + 2 * twice)).otherwise(0.5).alias("discount"))
+        contexts = written(
+            grams.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+            .join(F.broadcast(discounts), "lang").withColumn(
+                "weight", F.col("discount") * F.col("kinds") / F.col("total")), "contexts")
+        p = (F.col("n") - F.col("discount")) / F.col("total") + F.col("weight") * F.col("below")
+        near = grams.join(contexts, ["lang", "context"])
+        if lower is None:
+            near = near.withColumn("below", F.lit(UNSEEN))
+        else:
+            near = near.withColumn("suffix", F.substring("gram", 2, k - 1)).join(
+                lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["lang", "suffix"])
+        lower = written(near.select("lang", "gram", p.alias("p")), "probabilities")
+        tables[k] = by_place(lower, "gram", "p"), by_place(contexts, "context", "weight")
+    return tables
+
+
+def gram_values(grams: DataFrame, tables: dict[int, tuple[DataFrame, DataFrame]], n_langs: int) -> DataFrame:
+    """gram and its log-probability under each language, for every row of ``grams``: what is
+    seen of the gram, else its context's weight and the value of the next shorter one."""
+    of_order = {ORDER: grams}
+    for k in range(ORDER - 1, 0, -1):
+        of_order[k] = written(of_order[k + 1].select(F.substring("gram", 2, k).alias("gram")).distinct(), "suffixes")
+    values = None
+    for k in range(1, ORDER + 1):
+        seen, weights = tables[k]
+        near = of_order[k].withColumn("context", F.substring("gram", 1, k - 1)).join(
+            seen.withColumnRenamed("by_lang", "seen"), "gram", "left").join(
+            weights.withColumnRenamed("by_lang", "weights"), "context", "left")
+        if values is None:
+            near = near.withColumn("below", F.array_repeat(F.log(F.lit(UNSEEN)), n_langs))
+        else:
+            near = near.withColumn("suffix", F.substring("gram", 2, k - 1)).join(
+                values.select(F.col("gram").alias("suffix"), F.col("value").alias("below")), "suffix")
+        values = written(near.select("gram", F.transform("below", lambda below, i: F.coalesce(
+            F.col("seen")[i], F.coalesce(F.col("weights")[i], F.lit(0.0)) + below)).alias("value")), "values")
+    return values
+
+
+def _grams_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for first in range(0, len(batch), 500):
+            part = batch.iloc[first:first + 500]
+            grams, counts = [], []
+            for text in part["text"]:
+                found: Counter = Counter()
+                for word, n in Counter(words_of(text)).items():
+                    padded = START * (ORDER - 1) + word + END
+                    for i in range(len(word) + 1):
+                        found[padded[i:i + ORDER]] += n
+                grams.append(list(found))
+                counts.append(list(found.values()))
+            yield part.drop(columns="text").assign(grams=grams, counts=counts)
+
+
+def _joined_entropies(documents: DataFrame, counts: DataFrame, langs: list[str]) -> DataFrame:
+    """Like ``_entropies``, from models that stay tables."""
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    texts = written(documents.withColumn("row", F.monotonically_increasing_id()).mapInPandas(
+        _grams_of, f"doc_id {kind}, held_out boolean, lang string, row long, grams array<string>, counts array<long>"),
+        "texts")
+    pairs = texts.select("row", F.explode(F.arrays_zip("grams", "counts")).alias("pair")).select(
+        "row", F.col("pair.grams").alias("gram"), F.col("pair.counts").alias("n"))
+    values = gram_values(
+        written(pairs.select("gram").distinct(), "texts-grams"), model_tables(counts, langs), len(langs))
+    sums = [F.sum(F.col("value")[i] * F.col("n")) for i in range(len(langs))]
+    entropies = salted_left_join(pairs, values, ["gram"]).groupBy("row").agg(
+        F.array(*[-total / F.sum("n") for total in sums]).alias("entropy"))
+    return texts.join(entropies, "row", "left").select("doc_id", "held_out", "lang", "entropy")
 
 
 def _entropies(documents: DataFrame, models: Broadcast) -> DataFrame:
@@ -218,12 +300,17 @@ def identify(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     rows = documents.select(
         "doc_id", (F.pmod(crc32_of_id(), F.lit(FOLDS)) == HELD_OUT).alias("held_out"), "lang", "text")
-    models = train(documents)
-    if not models:
+    counts = gram_counts(documents)
+    names = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    if not names:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
-    langs = F.array(*map(F.lit, sorted(models)))
-    entropies = written(_entropies(rows, spark.sparkContext.broadcast(models)), "entropies")
+    langs = F.array(*map(F.lit, names))
+    if counts.count() <= SENT_GRAMS:
+        found = _entropies(rows, spark.sparkContext.broadcast(train(counts)))
+    else:
+        found = _joined_entropies(rows, counts, names)
+    entropies = written(found, "entropies")
     best = F.array_min("entropy")
     judged = entropies.withColumn("cross_entropy", best).withColumn(
         "lang_pred", F.when(F.col("entropy").isNull(), "und").otherwise(
