@@ -49,3 +49,38 @@ def test_without_broadcast(edge, monkeypatch):
 
 def test_empty(edge):
     assert L.cut_lines(edge.limit(0)).count() == 0
+
+
+SCRIPTS = {
+    "zh": "本网站的所有内容均受版权保护未经许可不得转载", "ja": "お問い合わせはこちらからお願いします",
+    "th": "สงวนลิขสิทธิ์ตามกฎหมายห้ามคัดลอก", "tabs": "Home\tNews\tContact", "no-break": "Tous\u00a0droits\u00a0réservés",
+    "wide": "版权\u3000所有\u3000翻印", "one word": "Datenschutzgrundverordnungserklärung",
+}
+
+
+def plain(data, min_sites=5):
+    """The intended rule: what is left of each text."""
+    def line(raw):
+        return " ".join(raw.replace("\ufeff", " ").replace("\u200b", " ").replace("\u2060", " ").split())
+
+    at = {}
+    for doc_id, text, site in data:
+        for i, raw in enumerate(text.split("\n")):
+            words = line(raw)
+            if len(words.split()) >= 3 or len(words.encode()) >= 24:
+                at.setdefault(words, []).append((doc_id, i, site))
+    cut = {(d, i) for found in at.values() if len({s for _, _, s in found}) >= min_sites
+           for d, i, _ in found if (d, i) != min(found)[:2]}
+    return {d: "\n".join(raw for i, raw in enumerate(text.split("\n")) if (d, i) not in cut) for d, text, _ in data}
+
+
+def test_every_script_and_white_space(spark):
+    lines = list(SCRIPTS.values())
+    data = [(i, "\n".join([f"own line number {i}", *lines, "首页", "Home"]), f"s{i % 6}") for i in range(12)]
+    data += [(20, "\u00a0Home News\u2003 Contact\ufeff\nTous droits  réservés\t\r\n\u3000版权 所有 翻印", "s9"),
+             (21, "\n".join([lines[0] + "一", "\u3000", "\t", ""]), "s9")]
+    got = {r["doc_id"]: r["text"] for r in L.cut_lines(
+        spark.createDataFrame(data, "doc_id long, text string, source string")).collect()}
+    assert got == plain(data)
+    assert got[0] == data[0][1] and got[5] == "own line number 5\n首页\nHome"
+    assert got[20] == "" and got[21] == data[-1][1]

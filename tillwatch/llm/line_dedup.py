@@ -6,9 +6,10 @@ Lines whose estimate is within the sketch's error of the threshold get an exact
 A line of at least ``MIN_SITES`` sites is boilerplate: its first occurrence (smallest doc_id,
 then smallest text hash, then position) stays, all others are cut. Only DataFrame functions.
 
-Defined results: lines are compared without the blanks around them; lines of fewer than
-``MIN_WORDS`` words are too short to tell and stay, as do empty ones; a null site counts as no
-site; a null text has no lines and stays null; a null doc_id comes before all others; rows
+Defined results: lines are compared without the white space around them, and white space of any
+kind and length inside them is one blank; lines of fewer than ``MIN_WORDS`` words and fewer than
+``MIN_BYTES`` UTF-8 bytes are too short to tell and stay, as do empty ones (scripts without
+blanks have few words but many bytes); a null site counts as no site; a null text has no lines and stays null; a null doc_id comes before all others; rows
 with equal doc_id and text are treated alike; an empty table gives an empty one. Other columns
 pass through.
 """
@@ -25,6 +26,10 @@ from tillwatch.session import written
 
 MIN_SITES = 5
 MIN_WORDS = 3
+MIN_BYTES = 24
+# White space of every script but blank and line end, and marks of no width put between words.
+_SPACE = (r"[\t\x0B\f\r\x1C-\x1F\x85\xA0\u1680\u2000-\u200B\u2028\u2029\u202F\u205F\u2060"
+          r"\u3000\uFEFF]")
 LG_K = 12
 # Relative standard error of the sketch's estimate, and how many of them count as near.
 ERROR = 1.06 / math.sqrt(2**LG_K)
@@ -39,9 +44,11 @@ def _lines(documents: DataFrame, site: str) -> DataFrame:
     """Every line long enough to compare: its document, position, hash and site."""
     each = documents.select(
         F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash")).alias("doc"),
-        F.col(site).alias("site"), F.posexplode(lines_of(F.col("text"))).alias("at", "line"),
-    ).withColumn("line", F.trim("line"))
-    return each.filter(F.size(F.split("line", " +")) >= MIN_WORDS).select(
+        F.col(site).alias("site"), F.posexplode(lines_of(F.regexp_replace("text", _SPACE, " "))).alias("at", "line"),
+    ).withColumn("line", F.trim("line")).withColumn("line", F.when(
+        F.contains("line", F.lit("  ")), F.regexp_replace("line", " +", " ")).otherwise(F.col("line")))
+    long_enough = (F.octet_length("line") >= MIN_BYTES) | (F.size(F.split("line", " ")) >= MIN_WORDS)
+    return each.filter(long_enough).select(
         "doc", "site", "at", F.unhex(F.md5("line")).alias("line_hash"))
 
 
