@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tillwatch.llm import (
-    bpe, decontamination, html_text, jaccard, language_id, line_dedup, neighbours, periodic_runs,
-    sharding, simhash, toxicity, url_filter,
+    bpe, collocations, decontamination, html_text, jaccard, language_id, line_dedup, neighbours,
+    periodic_runs, sharding, simhash, toxicity, url_filter,
 )
 from tillwatch.llm.common import table
 
@@ -59,6 +59,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.digest(language_id.identify(table(spark, sf_dir, "documents")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -80,9 +84,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_sharding": op9_sharding,
     "op10_language_id": op10_language_id,
+    "op11_collocations": op11_collocations,
     "op12_simhash": op12_simhash,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }
