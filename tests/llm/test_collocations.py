@@ -33,10 +33,13 @@ def brute(documents, least=30, top=2000):
     for lang, f in counts.items():
         n = sum(v for w, v in f.items() if len(w) == 1)
         candidates = {w: a for w, a in f.items() if len(w) > 1 and a >= least}
-        found = []
+        found, around = [], {}
+        for v, b in candidates.items():
+            for k in range(2, len(v)):
+                for i in range(len(v) - k + 1):
+                    around[v[i:i + k]] = max(b, around.get(v[i:i + k], 0))
         for w, a in candidates.items():
-            if any(100 * b >= 80 * a and len(v) > len(w) and w in [v[i:i + len(w)] for i in range(len(v) - len(w) + 1)]
-                   for v, b in candidates.items()):
+            if 100 * around.get(w, -1) >= 80 * a:
                 continue
             score, k = min((2_000_000 * a // (f[w[:k]] + f[w[k:]]), k) for k in range(1, len(w)))
             found.append((-score, -a, " ".join(w).encode(), f[w[:k]], f[w[k:]]))
@@ -45,7 +48,7 @@ def brute(documents, least=30, top=2000):
     return sorted(out, key=repr)
 
 
-def made(seed, n=400):
+def made(seed, n=250):
     rng = random.Random(seed)
     vocabulary = ["a", "b", "C", "dé", "e", "f'g", "H", " x", "中文"]
     fixed = ["new york city hall", "New York", "b b b b", "de facto"]

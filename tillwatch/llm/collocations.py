@@ -286,13 +286,15 @@ counts AS (
 totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE len(ws) = 1 GROUP BY lang),
 candidates AS (SELECT lang, ws, f AS a FROM counts WHERE len(ws) > 1 AND f >= {LEAST}),
 cuts AS (
-    SELECT lang, ws, a, unnest(generate_series(1, len(ws) - 1)) AS k FROM candidates),
+    SELECT lang, ws, a, k, array_to_string(ws[:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail
+    FROM (SELECT lang, ws, a, unnest(generate_series(1, len(ws) - 1)) AS k FROM candidates)),
+spelled AS (SELECT lang, array_to_string(ws, ' ') AS phrase, f FROM counts),
 split AS (
     SELECT c.lang, c.ws, c.a, c.k, l.f AS l, r.f AS r,
            ({SCALE}::HUGEINT * c.a // (l.f + r.f))::BIGINT AS score
     FROM cuts c
-    JOIN counts l ON l.lang = c.lang AND l.ws = c.ws[:c.k]
-    JOIN counts r ON r.lang = c.lang AND r.ws = c.ws[c.k + 1:]),
+    JOIN spelled l ON l.lang = c.lang AND l.phrase = c.head
+    JOIN spelled r ON r.lang = c.lang AND r.phrase = c.tail),
 lowest AS (
     SELECT * FROM split QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
 inside AS (
