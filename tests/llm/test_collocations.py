@@ -64,6 +64,7 @@ def made(seed, n=250):
 def test_equals_brute_force(spark, monkeypatch, shard, pieces_):
     monkeypatch.setattr(C, "SHARD_WORDS", shard)
     monkeypatch.setattr(C, "PIECES", pieces_)
+    monkeypatch.setattr(C, "SPLIT", shard)
     documents = made(shard)
     d = spark.createDataFrame([(l, t, "w", 1) for l, t in documents], "lang string, text string, word string, shard long")
     found = rows(C.collocations(d.repartition(3)))

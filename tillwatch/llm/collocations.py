@@ -5,10 +5,11 @@
 2. Words that are frequent in the whole corpus get a number. In each shard all others become
    separators, since no frequent phrase holds one, and a bidirectional FM-index is built of what
    is left and written.
-3. Every index extends its words to the right; counts of pairs are summed across shards.
-4. Every index takes the pairs that are frequent in the whole corpus and occur in it, extends them to
-   the right, and those to the left, where all pairs inside are frequent. Counts of phrases of
-   three and four words are summed across shards.
+3. Every index extends its words to the right. A shard sends one row per first word, with all
+   second words and their counts; first words of more than ``SPLIT`` occurrences are cut by the second.
+   Where the rows of all shards meet, counts are summed and each shard gets back its frequent pairs.
+4. Every index extends its frequent pairs to the right, and those to the left, where all pairs
+   inside are frequent. Counts of phrases of three and four words are summed across shards.
 
 What a shard needs to know of the whole corpus is joined to it by shard and is never more than
 what occurs in it; nothing is sent to all tasks but tables of a measured size. Counts, cuts
@@ -44,6 +45,10 @@ SCALE = 2_000_000
 SHARD_WORDS = 1 << 20
 PIECES = 4096
 RANK_BUCKETS = 32
+# Occurrences of a first word in one group of its pairs.
+SPLIT = 100_000
+# What the row of a pair's total has in place of a shard.
+ALL = -1
 
 _FOLD = bytearray(range(256))
 _FOLD[65:91] = range(97, 123)
@@ -114,6 +119,10 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield shard()
 
 
+def _lists(offsets: np.ndarray | list[int], values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
+
+
 def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The index of each shard over the frequent words, which get ids in the order of their
     numbers."""
@@ -122,7 +131,8 @@ def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(batch.num_rows):
             text = _unpacked(batch.column("text")[row].as_py())
             alive = batch.column("alive")[row].values
-            local, number = (alive.field(k).to_numpy(zero_copy_only=False) for k in ("id", "number"))
+            local, number, parts = (
+                alive.field(k).to_numpy(zero_copy_only=False) for k in ("id", "number", "parts"))
             order = np.argsort(number)
             to = np.zeros(int(text.max()) + 1, np.int32)
             to[local[order]] = np.arange(1, len(order) + 1)
@@ -131,9 +141,10 @@ def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = text[(text != 0) | (np.append(text[1:], 0) != 0)]
             index = FMIndex.of(np.append(text, np.int32(0)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("shard").slice(row, 1), pa.array([number[order].tolist()], pa.list_(pa.int64())),
+                [batch.column("shard").slice(row, 1), _lists([0, len(order)], number[order]),
+                 _lists([0, len(order)], parts[order]),
                  pa.array([_packed(index.left)], pa.binary()), pa.array([_packed(index.right)], pa.binary())],
-                names=["shard", "numbers", "left", "right"])
+                names=["shard", "numbers", "parts", "left", "right"])
 
 
 def _loaded(batch: pa.RecordBatch, row: int) -> tuple[FMIndex, np.ndarray]:
@@ -144,15 +155,82 @@ def _loaded(batch: pa.RecordBatch, row: int) -> tuple[FMIndex, np.ndarray]:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shard, first word and part: the second words (as differences, which take less
+    room) and the number of each."""
     release()
     for batch in batches:
         for row in range(batch.num_rows):
             index, numbers = _loaded(batch, row)
+            parts = np.concatenate([[1], batch.column("parts")[row].values.to_numpy(zero_copy_only=False)])
             found = index.extend_right(index.single())
-            shard = np.full(len(found.count), batch.column("shard")[row].as_py(), np.int64)
+            first, second = found.words[:, 0], numbers[found.words[:, 1]]
+            part = second % parts[first]
+            order = np.lexsort((second, part, first))
+            first, second, part = first[order], second[order], part[order]
+            starts = np.flatnonzero((np.diff(first, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+            steps = np.diff(second, prepend=0)
+            steps[starts] = second[starts]
+            ends = np.append(starts, len(second))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard), *(pa.array(numbers[found.words[:, k]]) for k in range(2)),
-                 pa.array(found.count.astype(np.int64))], names=["shard", "w1", "w2", "n"])
+                [pa.array(np.full(len(starts), batch.column("shard")[row].as_py(), np.int64)),
+                 pa.array(numbers[first[starts]]), pa.array(part[starts]),
+                 _lists(ends, steps), _lists(ends, found.count[order])],
+                names=["shard", "w1", "part", "w2", "n"])
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The offsets of the lists and their values."""
+    offsets = lists.offsets.to_numpy()
+    return offsets - offsets[0], lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _merged(rows: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """Of whole groups of (w1, part): the frequent pairs of each shard, and their totals."""
+    shard, w1, part = (rows.column(k).to_numpy() for k in ("shard", "w1", "part"))
+    offsets, steps = _flat(rows.column("w2").combine_chunks())
+    count = _flat(rows.column("n").combine_chunks())[1]
+    group = np.cumsum((np.diff(w1, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+    sizes = np.diff(offsets)
+    owner = np.repeat(np.arange(rows.num_rows), sizes)
+    so_far = np.cumsum(steps)
+    w2 = so_far - np.repeat((so_far - steps)[offsets[:-1]], sizes)
+    order = np.lexsort((w2, group[owner]))
+    new = (np.diff(w2[order], prepend=-1) != 0) | (np.diff(group[owner[order]], prepend=-1) != 0)
+    starts = np.flatnonzero(new)
+    total = np.add.reduceat(count[order], starts)
+    frequent = total >= least
+    alive = np.zeros(len(w2), bool)
+    alive[order] = np.repeat(frequent, np.diff(starts, append=len(w2)))
+    pair = order[starts[frequent]]
+    for shards, owners, seconds, counts in (
+        (shard, owner[alive], w2[alive], count[alive]),
+        (np.full(rows.num_rows, ALL, np.int64), owner[pair], w2[pair], total[frequent]),
+    ):
+        begin = np.flatnonzero(np.diff(owners, prepend=-1))
+        ends = np.append(begin, len(owners))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shards[owners[begin]]), pa.array(w1[owners[begin]]), _lists(ends, seconds),
+             _lists(ends, counts)], names=["shard", "w1", "w2", "n"])
+
+
+def _frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """``_merged`` of all groups; rows come sorted by group."""
+    release()
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        w1, part = (batch.column(k).to_numpy() for k in ("w1", "part"))
+        last = int(np.flatnonzero((w1 != w1[-1]) | (part != part[-1])).max(initial=-1)) + 1
+        if held and (held[-1].column("w1")[0].as_py(), held[-1].column("part")[0].as_py()) != (w1[0], part[0]):
+            yield from _merged(pa.Table.from_batches(held), least)
+            held = []
+        if last:
+            yield from _merged(pa.Table.from_batches([*held, batch.slice(0, last)]), least)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield from _merged(pa.Table.from_batches(held), least)
 
 
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +239,9 @@ def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(batch.num_rows):
             index, numbers = _loaded(batch, row)
             alive = batch.column("alive")[row].values
-            known = [np.searchsorted(numbers, alive.field(w).to_numpy(zero_copy_only=False)) for w in ("w1", "w2")]
+            offsets, second = _flat(alive.field("w2"))
+            first = np.repeat(alive.field("w1").to_numpy(zero_copy_only=False), np.diff(offsets))
+            known = np.searchsorted(numbers, first), np.searchsorted(numbers, second)
             pairs = np.sort(known[0] * index.ids + known[1])
 
             def frequent(words: np.ndarray) -> np.ndarray:
@@ -198,13 +278,18 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST) -> tuple[DataFram
     totals = written(counted.groupBy("lang").agg(F.sum("n").alias("words")), "totals")
     words = written(counted.filter(F.col("n") >= least).select(
         (F.monotonically_increasing_id() + 1).alias("number"), "lang", "word", "n"), "words")
-    alive = listed.join(words.select("lang", "word", "number"), ["lang", "word"]).groupBy("shard").agg(
-        F.collect_list(F.struct("id", "number")).alias("alive"))
+    alive = listed.join(words.select(
+        "lang", "word", "number", F.ceil(F.col("n") / SPLIT).cast("long").alias("parts")), ["lang", "word"]
+    ).groupBy("shard").agg(F.collect_list(F.struct("id", "number", "parts")).alias("alive"))
     indexes = written(shards.select("shard", "text").join(alive, "shard").mapInArrow(
-        _indexes, "shard long, numbers array<long>, left binary, right binary"), "indexes")
-    found = written(indexes.mapInArrow(_pairs, "shard long, w1 long, w2 long, n long"), "pairs")
-    pairs = written(_summed(found, ["w1", "w2"], least), "frequent-pairs")
-    alive = found.join(small(pairs.select("w1", "w2")), ["w1", "w2"]).groupBy("shard").agg(
+        _indexes, "shard long, numbers array<long>, parts array<long>, left binary, right binary"), "indexes")
+    met = indexes.mapInArrow(_pairs, "shard long, w1 long, part long, w2 array<long>, n array<long>").repartition(
+        "w1", "part").sortWithinPartitions("w1", "part")
+    found = written(met.mapInArrow(
+        lambda batches: _frequent(batches, least), "shard long, w1 long, w2 array<long>, n array<long>"), "pairs")
+    pairs = found.filter(F.col("shard") == ALL).select(
+        "w1", F.explode(F.arrays_zip("w2", "n")).alias("pair")).select("w1", "pair.w2", "pair.n")
+    alive = found.filter(F.col("shard") != ALL).groupBy("shard").agg(
         F.collect_list(F.struct("w1", "w2")).alias("alive"))
     longer = indexes.join(alive, "shard").mapInArrow(_longer, "w1 long, w2 long, w3 long, w4 long, n long")
     longer = _summed(longer, ["w1", "w2", "w3", "w4"], least)
