@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -121,12 +122,138 @@ def test_velocity_matches_the_model_over_batches_and_restarts(spark, tmp_path):
     assert scores["t0"] == 40 and scores["t10"] == 0
 
 
-def test_merge_counts_is_exact_and_bounded():
+def test_merge_counts_is_exact():
     times = np.array([5, 1, 5, 9, 4], dtype=np.int64)
-    kept, counts = state.merge_counts(times, np.array([1, 7, 2, 1, 1]), 5)
-    assert kept.tolist() == [4, 5, 9] and counts.tolist() == [1, 3, 1]
+    kept, counts = state.merge_counts(times, np.array([1, 7, 2, 1, 1]))
+    assert kept.tolist() == [1, 4, 5, 9] and counts.tolist() == [7, 1, 3, 1]
     empty = np.array([], dtype=np.int64)
-    assert len(state.merge_counts(empty, empty, 5)[0]) == 0
+    assert len(state.merge_counts(empty, empty)[0]) == 0
+
+
+class HeldState:
+    """The state of one key in plain dictionaries, with a count of the slots touched."""
+
+    class Value:
+        def __init__(self):
+            self.row = None
+
+        def exists(self):
+            return self.row is not None
+
+        def get(self):
+            return self.row
+
+        def update(self, row):
+            self.row = row
+
+        def clear(self):
+            self.row = None
+
+    class Map:
+        def __init__(self):
+            self.rows, self.read, self.wrote = {}, set(), set()
+
+        def keys(self):
+            return iter(list(self.rows))
+
+        def containsKey(self, key):
+            return key in self.rows
+
+        def getValue(self, key):
+            self.read.add(key)
+            return self.rows[key]
+
+        def updateValue(self, key, row):
+            self.wrote.add(key)
+            self.rows[key] = row
+
+        def removeKey(self, key):
+            del self.rows[key]
+
+        def clear(self):
+            self.rows = {}
+
+    def __init__(self):
+        self.timers, self.now = [], 0
+
+    def getValueState(self, *_):
+        return self.Value()
+
+    def getMapState(self, *_):
+        return self.Map()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def counter(span_us, idle_ms=1000):
+    held, operator = HeldState(), state.SlotVelocity(span_us, idle_ms)
+    operator.init(held)
+
+    def batch(*times):
+        frame = pd.DataFrame({"event_us": times, "n": 1})
+        half = len(frame) // 2
+        parts = iter([f for f in (frame[:half], frame[half:]) if len(f)])
+        operator.slots.read, operator.slots.wrote = set(), set()
+        return next(operator.handleInputRows(("u",), parts, held))["velocity_5min"].item()
+
+    return held, operator, batch
+
+
+@pytest.mark.parametrize("span", [3, 64, 1000])
+def test_slots_count_what_the_model_counts(span):
+    rng = random.Random(span)
+    for _ in range(60):
+        _, operator, batch = counter(span)
+        held, at = [], 0
+        for _ in range(25):
+            at += rng.choice([0, 1, span // 3, span, 5 * span, 100 * span]) - rng.choice([0, 0, span // 2])
+            times = [at + rng.randrange(-2 * span, 2 * span) for _ in range(rng.randrange(1, 9))]
+            held = [t for t in held + times if t >= max(held + times) - span]
+            assert batch(*times) == len(held)
+            assert len(operator.slots.rows) <= (state.SLOTS + 1) * (span // operator.width / state.SLOTS) + 1
+
+
+def test_a_batch_touches_its_own_slots_only():
+    held, operator, batch = counter(3200)
+    batch(*range(0, 3200))
+    assert batch(3205, 3206) == 3196 and len(operator.slots.rows) == 33
+    assert operator.slots.wrote == {(32,)} and operator.slots.read == {(0,)}
+    assert batch(3299, 3310, 3205) == 3200 - 110 + 5
+    assert operator.slots.wrote == {(32,), (33,)} and operator.slots.read == {(0,), (1,), (32,)}
+    assert (0,) not in operator.slots.rows
+
+
+def test_timer_waits_for_the_last_batch():
+    held, operator, batch = counter(3200, idle_ms=1000)
+    batch(1)
+    assert held.timers == [1000]
+    held.now = 700
+    batch(2)
+    held.now = 1000
+    assert list(operator.handleExpiredTimer(("u",), held, None)) == [] and held.timers == [1000, 1700]
+    assert operator.summary.exists() and operator.slots.rows
+    held.now = 1700
+    list(operator.handleExpiredTimer(("u",), held, None))
+    assert not operator.summary.exists() and not operator.slots.rows
+    assert batch(3) == 1 and held.timers[-1] == 2700
+
+
+def test_state_written_does_not_grow_with_the_history(spark, tmp_path):
+    """A row after a full span of events rewrites as few state rows as one after a single event."""
+    topic = Topic(spark, tmp_path)
+    topic.send([txn(0, "few", 0), *[txn(1 + i, "many", i / 10) for i in range(3000)]])
+    topic.send([txn(5000, "few", 301)])
+    topic.send([txn(5001, "many", 301)])
+    good, _ = validated(topic.stream())
+    writer = state.velocity_stateful(good).writeStream.foreachBatch(lambda df, _: df.count())
+    query = hot.start_stateful(writer.option("checkpointLocation", str(tmp_path / "c")), spark, ONCE)
+    run(query)
+    updated = [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]]
+    assert updated[0] > 30 and updated[2] <= updated[1] + 1 <= 4
 
 
 def until(condition, seconds=WAIT):

@@ -21,7 +21,7 @@ from tillwatch.operators.profiles import last_locations
 from tillwatch.operators.scoring import score_enriched
 from tillwatch.operators.stats import batch_stats
 from tillwatch.schemas import LEDGER, SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS
-from tillwatch.session import settings
+from tillwatch.session import SETTINGS, settings
 from tillwatch.sources.tables import Refreshed, is_gone
 from tillwatch.streaming.sinks import (
     Batch, Target, conform, serving_fraud_scores, serving_transactions, write_batch,
@@ -31,6 +31,7 @@ from tillwatch.streaming.state import batch_rows, batch_users, velocity_stateful
 log = logging.getLogger(__name__)
 
 TRIGGER = "10 seconds"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 @dataclass(frozen=True)
@@ -172,10 +173,12 @@ def start_hot(
 
 
 def start_stateful(writer: DataStreamWriter, spark: SparkSession, trigger: dict) -> StreamingQuery:
-    """Start a query with idle timeouts. A run over the available data would go on with
-    empty batches to time out the state, so it runs without those and ends."""
-    empty_batches = "spark.sql.streaming.noDataMicroBatches.enabled"
-    values = {empty_batches: "false"} if trigger.get("availableNow") else {}
+    """Start a query with idle timeouts, on the store that keyed maps and timers need. A run
+    over the available data would go on with empty batches to time out the state, so it runs
+    without those and ends."""
+    values = {STATE_STORE: SETTINGS[STATE_STORE]}
+    if trigger.get("availableNow"):
+        values["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     with settings(spark, values):
         return writer.trigger(**trigger).start()
 

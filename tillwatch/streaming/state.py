@@ -2,8 +2,13 @@
 
 Only user id and event time enter the state operator. They are counted per task before
 the shuffle, so a hot user arrives as a few counts; the transactions themselves pass
-by unshuffled in a second branch of the same query and meet their count again in
+by unshuffled in a second branch of the same query and meet their user's count again in
 ``stamp_velocity``, inside the micro-batch that both belong to.
+
+State is a map from time slot to the times and counts in it, next to a short summary of the user
+(newest time, count within the span, last batch). A micro-batch reads and writes the slots its
+rows fall into, and reads the slots that the start of the span has passed since; what lies
+between is neither read nor written, however much the user has done. A timer drops idle users.
 """
 
 from __future__ import annotations
@@ -14,27 +19,105 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tillwatch.config import DEFAULT_JOIN, DEFAULT_SCORING, JoinPolicy
+from tillwatch.config import DEFAULT_JOIN, JoinPolicy
 from tillwatch.operators.joins import Size, left_join_unique
 
 ROW, USER = "row", "user"
-_STATE = "event_us array<bigint>, n array<bigint>"
+# Slots in a span. A slot is what a micro-batch rewrites for one row in it.
+SLOTS = 32
+_COUNTS = "user_id string, velocity_5min long"
 
 
-def merge_counts(
-    times: np.ndarray, counts: np.ndarray, span_us: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Sum counts of equal times and drop what is older than ``span_us`` before the
-    newest time."""
-    if not len(times):
-        return times, counts
+def merge_counts(times: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct times in order, with the sum of their counts."""
     distinct, where = np.unique(times, return_inverse=True)
     summed = np.zeros(len(distinct), dtype=np.int64)
     np.add.at(summed, where, counts)
-    kept = distinct >= distinct[-1] - span_us
-    return distinct[kept], summed[kept]
+    return distinct, summed
+
+
+class SlotVelocity(StatefulProcessor):
+    """Counts each user's events of the last ``span_us`` before the newest of them, the end
+    included, with one row per user and micro-batch."""
+
+    def __init__(self, span_us: int, idle_ms: int) -> None:
+        self.span, self.idle = span_us, idle_ms
+        self.width = max(1, span_us // SLOTS)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.summary = handle.getValueState("summary", "newest long, total long, seen_ms long")
+        self.slots = handle.getMapState("slots", "slot long", "event_us array<bigint>, n array<bigint>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
+        times, counts = merge_counts(
+            np.concatenate([f["event_us"].to_numpy(np.int64) for f in frames]),
+            np.concatenate([f["n"].to_numpy(np.int64) for f in frames]))
+        now = timerValues.getCurrentProcessingTimeInMs()
+        newest, total = int(times[-1]), 0
+        if self.summary.exists():
+            before, total, _ = self.summary.get()
+            newest = max(newest, before)
+            total -= self._passed(before - self.span, newest - self.span)
+        else:
+            self.handle.registerTimer(now + self.idle)
+        counted = times >= newest - self.span
+        self._add(times[counted], counts[counted])
+        total += int(counts[counted].sum())
+        self.summary.update((newest, total, now))
+        yield pd.DataFrame({"user_id": [key[0]], "velocity_5min": [total]})
+
+    def _passed(self, old: int, new: int) -> int:
+        """Number of events from ``old`` until before ``new``; slots that end there are dropped.
+        The slot that ``new`` lies in stays whole: what it holds from before is never counted again."""
+        if new == old:
+            return 0
+        first, last, gone = old // self.width, new // self.width, 0
+        if last - first > SLOTS + 1:
+            # All that was held lies before the new start.
+            for slot in [k[0] for k in self.slots.keys()]:
+                gone += self._from(slot, old, new)
+                self.slots.removeKey((slot,))
+            return gone
+        for slot in range(first, last + 1):
+            if self.slots.containsKey((slot,)):
+                gone += self._from(slot, old, new)
+                if slot < last:
+                    self.slots.removeKey((slot,))
+        return gone
+
+    def _from(self, slot: int, old: int, new: int) -> int:
+        times, counts = map(np.asarray, self.slots.getValue((slot,)))
+        return int(counts[(times >= old) & (times < new)].sum())
+
+    def _add(self, times: np.ndarray, counts: np.ndarray) -> None:
+        slots = times // self.width
+        for slot in np.unique(slots).tolist():
+            here = slots == slot
+            held, n = times[here], counts[here]
+            if self.slots.containsKey((slot,)):
+                before = self.slots.getValue((slot,))
+                held, n = merge_counts(np.concatenate([np.asarray(before[0], np.int64), held]),
+                                       np.concatenate([np.asarray(before[1], np.int64), n]))
+            self.slots.updateValue((slot,), (held.tolist(), n.tolist()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Drops a user who has been idle; another gets a timer for when that could be. So an
+        active user costs no timer per micro-batch."""
+        if self.summary.exists():
+            due = self.summary.get()[2] + self.idle
+            if due > timerValues.getCurrentProcessingTimeInMs():
+                self.handle.registerTimer(due)
+            else:
+                self.summary.clear()
+                self.slots.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
 
 
 def _count_in_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -53,35 +136,12 @@ def velocity_stateful(good: DataFrame, seconds: int = 300, idle_ms: int = 600_00
     counted but is still delivered. State is dropped after ``idle_ms`` without rows.
     Drop columns such as ``raw_json`` beforehand when nothing downstream needs them.
     """
-    span_us = seconds * 1_000_000
-
-    def count_user(
-        key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = state.get if state.exists else ([], [])
-        times = np.asarray(held[0], dtype=np.int64)
-        counts = np.asarray(held[1], dtype=np.int64)
-        for frame in frames:
-            times, counts = merge_counts(
-                np.concatenate([times, frame["event_us"].to_numpy(np.int64)]),
-                np.concatenate([counts, frame["n"].to_numpy(np.int64)]),
-                span_us,
-            )
-        state.update((times.tolist(), counts.tolist()))
-        state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame({"user_id": [key[0]], "velocity_5min": [int(counts.sum())]})
-
     per_user = (
         good.select("user_id", F.unix_micros("event_time").alias("event_us"))
         .mapInPandas(_count_in_task, "user_id string, event_us long, n long")
         .groupBy("user_id")
-        .applyInPandasWithState(
-            count_user, "user_id string, velocity_5min long", _STATE, "append",
-            GroupStateTimeout.ProcessingTimeTimeout,
-        )
+        .transformWithStateInPandas(
+            SlotVelocity(seconds * 1_000_000, idle_ms), _COUNTS, "append", "ProcessingTime")
         .withColumn("_kind", F.lit(USER))
     )
     rows = good.withColumns({"k_partition": F.col("k_partition").cast("long"), "_kind": F.lit(ROW)})
