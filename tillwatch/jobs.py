@@ -28,8 +28,9 @@ from tillwatch.sources.tables import (
     table_version,
 )
 from tillwatch.streaming import hot, lake
+from tillwatch.streaming.keyed import BUCKETS
 from tillwatch.streaming.sinks import (
-    MAX_SKEW, Target, read_arrived, read_current, read_window,
+    MAX_SKEW, Target, fold, read_arrived, read_newest, read_window,
 )
 
 
@@ -148,9 +149,17 @@ def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
     raised = read_arrived(
         spark, Target(f"{args.out}/fraud_scores"), KEY, "flagged_at", since, SERVING_FRAUD_SCORES)
     serving.top_risky_users(raised, now, args.top).show(truncate=False)
-    every = read_current(
-        spark, Target(f"{args.out}/fraud_scores"), KEY, "flagged_at", SERVING_FRAUD_SCORES)
-    serving.recent_fraud_scores(every, args.top).show(truncate=False)
+    newest = read_newest(
+        spark, Target(f"{args.out}/fraud_scores"), KEY, "flagged_at", args.top, SERVING_FRAUD_SCORES)
+    serving.recent_fraud_scores(newest, args.top).show(truncate=False)
+
+
+def folding(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Fold the closed batches of both keyed tables; for a scheduler, next to the stream."""
+    for name, arrival, schema in (("transactions", "ingest_time", SERVING_TRANSACTIONS),
+                                  ("fraud_scores", "flagged_at", SERVING_FRAUD_SCORES)):
+        parts = fold(spark, Target(f"{args.out}/{name}"), KEY, arrival, schema, args.buckets)
+        print(f"{name}: {parts} partitions rewritten")
 
 
 def compaction(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -196,6 +205,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--locations", help="folder of streamed locations to merge in")
     sub.add_argument("--min-count", type=int, default=daily.MIN_PROFILES)
     job("dashboard", dashboard, "out").add_argument("--top", type=int, default=20)
+    job("fold", folding, "out").add_argument("--buckets", type=int, default=BUCKETS)
     job("reconcile", reconcile, "transactions")
     job("compact", compaction, "path")
     return top

@@ -589,6 +589,34 @@ def stored_risky_users(spark: SparkSession, sf: str) -> DataFrame:
     return serving.top_risky_users(raised, at("2024-01-21 00:00:00"))
 
 
+@query("folded_transactions")
+def folded_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Last write wins over base and batch folders: every seventh transaction arrives again a day
+    later, every eleventh at the same time in a later batch."""
+    rows = sinks.conform(sinks.serving_transactions(scored(spark, sf)), SERVING_TRANSACTIONS)
+    number = F.col("transaction_id").cast("long")
+    later = rows.filter(number % 7 == 0).withColumns({
+        "status": F.lit("later"), "ingest_time": F.col("ingest_time") + F.expr("INTERVAL 1 DAY")})
+    same = rows.filter((number % 11 == 0) & (number % 7 != 0)).withColumn("status", F.lit("again"))
+    target = streams.run_folded(
+        spark, rows, later.unionByName(same), "transaction_id", "ingest_time", SERVING_TRANSACTIONS)
+    return shown(_stored(spark, target, "ingest_time", SERVING_TRANSACTIONS).select(
+        "transaction_id", "status", "ingest_time", "velocity_5min", "fraud_score", "is_flagged"))
+
+
+@query("folded_newest_alerts")
+def folded_newest_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest alerts from base and batch folders, the days walked backwards; every third alert is
+    raised again a day later."""
+    rows = sinks.conform(alerts(spark, sf), SERVING_FRAUD_SCORES)
+    again = rows.filter(F.col("transaction_id").cast("long") % 3 == 0).withColumns({
+        "reasons": F.lit("AGAIN"), "flagged_at": F.col("flagged_at") + F.expr("INTERVAL 1 DAY")})
+    target = streams.run_folded(
+        spark, rows, again, "transaction_id", "flagged_at", SERVING_FRAUD_SCORES)
+    return shown(serving.recent_fraud_scores(sinks.read_newest(
+        spark, target, ["transaction_id"], "flagged_at", 20, SERVING_FRAUD_SCORES)))
+
+
 @query("dlq_stream")
 def dlq_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _dead_letters(streams.run_dlq(spark, sf)).drop("topic", "ingest_time")

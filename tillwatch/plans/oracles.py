@@ -404,6 +404,21 @@ FROM hour""",
 SELECT user_id, count(*) AS flagged_count, max(fraud_score) AS max_score
 FROM alerts WHERE flagged_at >= TIMESTAMP '2024-01-21 00:00:00' - INTERVAL 24 HOUR
 GROUP BY user_id ORDER BY flagged_count DESC, user_id LIMIT 10""",
+    "folded_transactions": f"""{SCORED}
+SELECT transaction_id,
+       CASE WHEN CAST(transaction_id AS BIGINT) % 7 = 0 THEN 'later'
+            WHEN CAST(transaction_id AS BIGINT) % 11 = 0 THEN 'again' ELSE status END AS status,
+       strftime(CASE WHEN CAST(transaction_id AS BIGINT) % 7 = 0 THEN ingest_time + INTERVAL 1 DAY
+                     ELSE ingest_time END, {TIME}) AS ingest_time,
+       velocity_5min, fraud_score, is_flagged
+FROM scored""",
+    "folded_newest_alerts": f"""{SCORED}
+SELECT transaction_id, user_id, fraud_score, reasons, strftime(flagged_at, {TIME}) AS flagged_at
+FROM (SELECT transaction_id, user_id, fraud_score,
+             CASE WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN 'AGAIN' ELSE reasons END AS reasons,
+             CASE WHEN CAST(transaction_id AS BIGINT) % 3 = 0 THEN flagged_at + INTERVAL 1 DAY
+                  ELSE flagged_at END AS flagged_at
+      FROM alerts ORDER BY 5 DESC, transaction_id LIMIT 20)""",
     "recent_fraud_scores": f"""{SCORED}
 SELECT transaction_id, user_id, fraud_score, reasons, strftime(flagged_at, {TIME}) AS flagged_at
 FROM (SELECT * FROM alerts ORDER BY flagged_at DESC, transaction_id LIMIT 20)""",

@@ -93,3 +93,24 @@ def run_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
         scored, f"{root}/table", f"{root}/checkpoint", trigger=ALL_AVAILABLE
     ).awaitTermination()
     return lake.read_lake(spark, f"{root}/table")
+
+
+def run_folded(
+    spark: SparkSession, rows: DataFrame, again: DataFrame, key: str, arrival: str, schema
+) -> Target:
+    """A keyed serving folder after four batches (three by arrival, then ``again``) with folds
+    between them, so that it is part base and part batch folders."""
+    target = Target(scratch_path(spark, "folded"))
+    cuts = [None, *map(events.at, VELOCITY_CUTS), None]
+    for number in range(len(cuts)):
+        if number < len(cuts) - 1:
+            low, high = cuts[number], cuts[number + 1]
+            part = rows if low is None else rows.filter(F.col(arrival) >= low)
+            part = part if high is None else part.filter(F.col(arrival) < high)
+        else:
+            part = again
+        dated = part.withColumn("arrival_date", F.to_date(arrival))
+        sinks.write_batch(dated, target, Batch("folded", number), "arrival_date")
+        if number in (1, 2):
+            sinks.fold(spark, target, [key], arrival, schema)
+    return target

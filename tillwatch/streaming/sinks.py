@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,7 @@ from pyspark.sql import types as T
 
 from tillwatch.operators.joins import latest_by_key
 from tillwatch.schemas import SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS
-from tillwatch.sources.tables import or_empty
-
+from tillwatch.streaming import keyed
 
 # How far before its own time a row may arrive.
 MAX_SKEW = "1 DAY"
@@ -92,9 +92,17 @@ def serving_fraud_scores(scored: DataFrame) -> DataFrame:
     }).select(*SERVING_FRAUD_SCORES.fieldNames())
 
 
+def fold(
+    spark: SparkSession, target: Target, keys: list[str], arrival: str, schema: T.StructType,
+    buckets: int = keyed.BUCKETS, ended: bool = False,
+) -> int:
+    """Fold the closed batches of a file-based serving table into its base."""
+    return keyed.fold(spark, target.location, keys, arrival, _declared(schema), target.fmt,
+                      dict(target.options), buckets, ended)
+
+
 def read_current(
-    spark: SparkSession, target: Target, keys: list[str], arrival: str,
-    schema: T.StructType | None = None,
+    spark: SparkSession, target: Target, keys: list[str], arrival: str, schema: T.StructType | None = None,
 ) -> DataFrame:
     """A file-based serving table with the newest row of each key."""
     return _newest(_stored_rows(spark, target, schema), keys, arrival)
@@ -106,7 +114,7 @@ def read_arrived(
 ) -> DataFrame:
     """The newest row of each key among what arrived at or after ``since``, whatever its event
     time. Only the folders of those days are listed."""
-    rows = _stored_rows(spark, target, schema)
+    rows = _stored_rows(spark, target, schema, _day(spark, since))
     recent = rows.filter((F.col(arrival) >= since) & (F.col("arrival_date") >= F.to_date(since)))
     return _newest(recent, keys, arrival)
 
@@ -122,9 +130,10 @@ def read_window(
     those are reduced to one row per key. No row arrives more than ``skew`` before its own
     time (validation rejects such events), which bounds the days that are looked through.
     """
-    rows = _stored_rows(spark, target, schema)
+    first_day = since - F.expr(f"INTERVAL {skew}")
+    rows = _stored_rows(spark, target, schema, _day(spark, first_day))
     in_window = F.col(time) >= since
-    on_days = F.col("arrival_date") >= F.to_date(since - F.expr(f"INTERVAL {skew}"))
+    on_days = F.col("arrival_date") >= F.to_date(first_day)
     first = rows.filter(in_window & on_days).agg(F.min(arrival)).first()[0]
     if first is None:
         later = rows.filter(F.lit(False))
@@ -133,19 +142,47 @@ def read_window(
     return _newest(later, keys, arrival).filter(in_window)
 
 
+def read_newest(
+    spark: SparkSession, target: Target, keys: list[str], arrival: str, n: int,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """Current rows among which are the ``n`` that arrived last.
+
+    Days are walked backwards until those looked at hold ``n`` keys. A key that occurs on older
+    days only arrived before all of them, so no older day can change the list. The number of
+    days doubles with each step: at most twice the needed days are read.
+    """
+    days, take = keyed.days(spark, target.location), 1
+    while True:
+        since = days[min(take, len(days)) - 1] if days else None
+        rows = _stored_rows(spark, target, schema, since)
+        if since is not None:
+            rows = rows.filter(F.col("arrival_date") >= F.lit(since))
+        if take >= len(days) or rows.select(*keys).distinct().limit(n).count() == n:
+            return _newest(rows, keys, arrival)
+        take *= 2
+
+
 def _newest(rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
-    """Last write wins: by arrival, then by the number of the micro-batch."""
-    number = F.regexp_extract(F.col("batch"), r"-(\d+)$", 1).cast("long")
-    order = [arrival, number.desc_nulls_last(), "batch"]
-    return latest_by_key(rows, keys, order).drop("batch", "arrival_date")
+    return latest_by_key(rows, keys, keyed.newest_first(arrival)).drop("batch", "arrival_date")
 
 
-def _stored_rows(spark: SparkSession, target: Target, schema: T.StructType | None) -> DataFrame:
-    reader = spark.read.format(target.fmt).options(**target.options)
-    if schema is None:
-        return reader.load(target.location)
-    declared = T.StructType([
+def _day(spark: SparkSession, time: Column) -> date:
+    return spark.range(1).select(F.to_date(time)).first()[0]
+
+
+def _declared(schema: T.StructType) -> T.StructType:
+    return T.StructType([
         *[T.StructField(f.name, _stored(f.dataType)) for f in schema],
         T.StructField("batch", T.StringType()), T.StructField("arrival_date", T.DateType()),
     ])
-    return or_empty(spark, lambda: reader.schema(declared).load(target.location), declared)
+
+
+def _stored_rows(
+    spark: SparkSession, target: Target, schema: T.StructType | None, since: date | None = None
+) -> DataFrame:
+    if schema is None:
+        declared = spark.read.format(target.fmt).options(**target.options).load(target.location).schema
+    else:
+        declared = _declared(schema)
+    return keyed.stored(spark, target.location, declared, since, target.fmt, dict(target.options))
