@@ -42,8 +42,8 @@ def test_query_recall(spark):
 
 
 def test_recall_in_small_blocks(spark, monkeypatch):
-    monkeypatch.setattr(N, "DATA_BLOCK", 300)
-    monkeypatch.setattr(N, "QUERY_BLOCK", 20)
+    monkeypatch.setattr(N, "BLOCK_ROWS", 300)
+    monkeypatch.setattr(N, "CHUNK", 20)
     draw = np.random.default_rng(5)
     centres = draw.standard_normal((12, 24))
     vectors = centres[draw.integers(0, 12, 1500)] + 0.4 * draw.standard_normal((1500, 24))
@@ -69,6 +69,46 @@ def test_edges(spark):
     assert N.search(d.limit(0)).count() == 0
 
 
+def test_components_of_any_size(spark):
+    """Huge, tiny and ordinary components together; overflowing products rank as infinities."""
+    draw = np.random.default_rng(2)
+    vectors = draw.standard_normal((61, 6))
+    vectors[7] *= 1e200
+    vectors[8] *= 1e-200
+    vectors[20] *= 1e-200
+    vectors[40] *= 1e200
+    vectors[41:44] = [[1e200, -1e200, 0, 0, 0, 0], [1e200, 1e200, 1, 0, 0, 0], [5e-324, 0, 0, 0, 0, 0]]
+    ids = np.arange(61)
+    d = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    got = N.search(d).collect()
+    with np.errstate(over="ignore", invalid="ignore"):
+        products = vectors[:, None, :] * vectors[None]
+        truth = products.sum(axis=2)
+    truth[np.isnan(truth)] = -np.inf
+    for q in (0, 20, 40, 60):
+        mine = [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert len(mine) == 20
+        best = [(int(i), truth[q, i]) for i in np.lexsort((ids, -truth[q])) if i != q][:20]
+        assert mine == best
+
+
+def test_one_id_with_different_vectors(spark):
+    d = spark.createDataFrame([(20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [3.0, 2.0])], "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in N.search(d).collect())
+    assert got == [(20, 1, 1, 3.0), (20, 2, 1, 2.0)]
+
+
+def test_clusters_are_pruned():
+    draw = np.random.default_rng(1)
+    centres = 10 * draw.standard_normal((64, 32))
+    data = (centres[:, None] + draw.standard_normal((64, 128, 32))).reshape(-1, 32)
+    block = N.Block(np.arange(len(data)), data)
+    found = block.search(np.arange(0, len(data), 20), data[::20])
+    truth = np.argsort(-(data[::20] @ data.T) + 1e9 * (np.arange(0, len(data), 20)[:, None] == np.arange(len(data))), axis=1)[:, :20]
+    hits = np.mean([len(set(a) & set(b)) / 20 for a, b in zip(found.ids, truth)])
+    assert hits > 0.9 and block.verified < 0.5 * len(data) * len(data[::20])
+
+
 def test_chi_square():
     draw = np.random.default_rng(0).chisquare(N.PROJECTED, 200_000)
     for x in (2.0, 7.0, 15.0):

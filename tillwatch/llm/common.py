@@ -28,6 +28,18 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if measure(df).fits(SMALL) else df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores added as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def crc32_of_id(doc_id: str = "doc_id") -> Column:
     """CRC-32 of the id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

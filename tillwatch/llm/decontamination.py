@@ -21,7 +21,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import small
+from tillwatch.llm.common import small, unused
 from tillwatch.session import written
 
 WINDOW = 10
@@ -164,17 +164,18 @@ def decontaminate(
     rows stay as they are."""
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove: documents or spans, not {remove}")
+    doc_id, text_hash, spans = unused(documents, "_id", "_hash", "_spans")
     found = written(
         contamination(documents, benchmark, window).filter("n_hit > 0")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
-        .distinct().withColumnRenamed("spans", "_spans"), "contaminated")
-    match = documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_hash"))
+        .select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash), F.col("spans").alias(spans))
+        .distinct(), "contaminated")
+    match = documents["doc_id"].eqNullSafe(F.col(doc_id)) & (F.xxhash64(documents["text"]) == F.col(text_hash))
     if remove == "documents":
         return documents.join(small(found), match, "left_anti")
     pieces = F.regexp_extract_all(F.col("text"), F.lit(WORD_AND_REST), F.lit(0))
     kept = F.filter(pieces, lambda piece, i: ~F.exists(
-        F.col("_spans"), lambda s: (i >= s["first"]) & (i < s["end"])))
+        F.col(spans), lambda s: (i >= s["first"]) & (i < s["end"])))
     cut = F.concat(F.regexp_extract("text", BEFORE_WORDS, 0), F.array_join(kept, ""))
     return documents.join(small(found), match, "left").withColumn(
-        "text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)
+        "text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut)
     ).select(*documents.columns)

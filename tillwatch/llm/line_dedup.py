@@ -3,6 +3,7 @@
 Each line's sites are counted by a HyperLogLog sketch per line hash; sketches of one line are
 merged by the aggregation, so a line in a third of all documents is a few bytes per task.
 Lines whose estimate is within the sketch's error of the threshold get an exact distinct count.
+Lines are split, compared and hashed once, into a written table that all steps read.
 A line of at least ``MIN_SITES`` sites is boilerplate: its first occurrence (smallest doc_id,
 then smallest text hash, then position) stays, all others are cut. Only DataFrame functions.
 
@@ -11,7 +12,7 @@ kind and length inside them is one blank; lines of fewer than ``MIN_WORDS`` word
 ``MIN_BYTES`` UTF-8 bytes are too short to tell and stay, as do empty ones (scripts without
 blanks have few words but many bytes); a null site counts as no site; a null text has no lines and stays null; a null doc_id comes before all others; rows
 with equal doc_id and text are treated alike; an empty table gives an empty one. Other columns
-pass through.
+pass through, whatever their names, but for ``lines_before`` and ``lines_cut``, which are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import small
+from tillwatch.llm.common import small, unused
 from tillwatch.session import written
 
 MIN_SITES = 5
@@ -52,9 +53,8 @@ def _lines(documents: DataFrame, site: str) -> DataFrame:
         "doc", "site", "at", F.unhex(F.md5("line")).alias("line_hash"))
 
 
-def boilerplate(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """line_hash and the first occurrence (document, position) of each boilerplate line."""
-    lines = _lines(documents, site)
     margin = max(1, math.ceil(NEAR * ERROR * min_sites))
     suspects = written(
         lines.groupBy("line_hash").agg(
@@ -70,9 +70,10 @@ def boilerplate(documents: DataFrame, site: str = "source", min_sites: int = MIN
 
 def removals(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """Positions of the lines to cut, per document that has any."""
-    shared = written(boilerplate(documents, site, min_sites), "boilerplate")
+    lines = written(_lines(documents, site), "lines")
+    shared = written(boilerplate(lines, min_sites), "boilerplate")
     return (
-        _lines(documents, site).join(small(shared), "line_hash")
+        lines.join(small(shared), "line_hash")
         .filter(~F.struct("doc", "at").eqNullSafe(F.col("first")))
         .groupBy("doc").agg(F.collect_set("at").alias("cut"))
     )
@@ -81,21 +82,20 @@ def removals(documents: DataFrame, site: str = "source", min_sites: int = MIN_SI
 def cut_lines(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``documents`` with ``text`` freed from boilerplate, plus ``lines_before`` and
     ``lines_cut``."""
-    cut = written(removals(documents, site, min_sites).select(
-        F.col("doc.doc_id").alias("_id"), F.col("doc.text_hash").alias("_hash"),
-        F.col("cut").alias("_cut")), "cut")
+    doc_id, text_hash, cut = unused(documents, "_id", "_hash", "_cut")
+    cuts = written(removals(documents, site, min_sites).select(
+        F.col("doc.doc_id").alias(doc_id), F.col("doc.text_hash").alias(text_hash),
+        F.col("cut").alias(cut)), "cut")
     columns = [documents[c] for c in documents.columns if c not in ("text", "lines_before", "lines_cut")]
     text, lines = documents["text"], lines_of(documents["text"])
-    match = documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
+    match = documents["doc_id"].eqNullSafe(F.col(doc_id)) & (F.xxhash64(text) == F.col(text_hash))
     kept = F.array_join(
-        F.filter(lines, lambda line, i: ~F.array_contains("_cut", i)), "\n")
-    return documents.join(small(cut), match, "left").select(
+        F.filter(lines, lambda line, i: ~F.array_contains(cut, i)), "\n")
+    return documents.join(small(cuts), match, "left").select(
         *columns,
-        F.when(F.col("_cut").isNull(), text).otherwise(kept).alias("text"),
-        F.coalesce(F.size(lines), F.lit(0)).alias("_n"),
-        F.coalesce(F.size("_cut"), F.lit(0)).alias("lines_cut"),
-    ).withColumn("lines_before", F.greatest("_n", F.lit(0))).withColumn(
-        "lines_cut", F.greatest("lines_cut", F.lit(0))).drop("_n")
+        F.when(F.col(cut).isNull(), text).otherwise(kept).alias("text"),
+        F.greatest(F.coalesce(F.size(lines), F.lit(0)), F.lit(0)).alias("lines_before"),
+        F.greatest(F.coalesce(F.size(cut), F.lit(0)), F.lit(0)).alias("lines_cut"))
 
 
 def digest(cut: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import crc32_of_id, kept
+from tillwatch.llm.common import crc32_of_id, kept, unused
 from tillwatch.session import written
 
 TRAIN_ROWS = 10_000
@@ -198,26 +198,31 @@ def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 60, penalty: float = 1
     return w
 
 
-def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``documents`` with ``held_out``, ``score`` and ``predicted``."""
+SCORES = ("held_out", "score", "predicted")
+
+
+def score(documents: DataFrame, labels: DataFrame, names: tuple[str, ...] = SCORES) -> DataFrame:
+    """``documents`` with ``held_out``, ``score`` and ``predicted``, or ``names`` in their place."""
     rows = training_rows(documents, labels)
     dictionaries = train(rows)
+    is_held, points, predicted = names
     held_out = F.pmod(crc32_of_id(), F.lit(FOLDS)) == HELD_OUT
-    columns = [c for c in documents.columns if c not in ("held_out", "score", "predicted")]
+    columns = [c for c in documents.columns if c not in names]
     if dictionaries is None:
         rate = rows.agg(F.avg("toxic").cast("double")).first()[0] or 0.0
-        return documents.select(*columns, held_out.alias("held_out"), F.lit(rate).alias("score"),
-                                F.lit(int(rate >= 0.5)).alias("predicted"))
+        return documents.select(*columns, held_out.alias(is_held), F.lit(rate).alias(points),
+                                F.lit(int(rate >= 0.5)).alias(predicted))
+    (x,) = unused(documents, "_x")
     features = _feature_column(dictionaries)
     known = rows.select(features(F.col("text")).alias("x"), "toxic").collect()
     weights = calibrate(np.array([r["x"] for r in known]), np.array([float(r["toxic"] > 0) for r in known]))
     linear = F.lit(float(weights[-1]))
     for i, weight in enumerate(weights[:-1]):
-        linear = linear + F.lit(float(weight)) * F.col("_x")[i]
+        linear = linear + F.lit(float(weight)) * F.col(x)[i]
     return (
-        documents.select(*columns, held_out.alias("held_out"), features(F.col("text")).alias("_x"))
-        .withColumn("score", 1 / (1 + F.exp(-linear)))
-        .withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("_x")
+        documents.select(*columns, held_out.alias(is_held), features(F.col("text")).alias(x))
+        .withColumn(points, 1 / (1 + F.exp(-linear)))
+        .withColumn(predicted, (F.col(points) >= 0.5).cast("int")).drop(x)
     )
 
 
@@ -227,4 +232,5 @@ def digest(scored: DataFrame) -> DataFrame:
 
 def keep_civil(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``documents`` without the rows that are predicted toxic."""
-    return score(documents, labels).filter("predicted = 0").select(*documents.columns)
+    names = unused(documents, *SCORES)
+    return score(documents, labels, tuple(names)).filter(F.col(names[-1]) == 0).drop(*names)
