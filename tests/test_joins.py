@@ -79,3 +79,14 @@ def test_latest_by_key_limits_each_task_before_the_shuffle(facts):
     assert "WindowGroupLimit" in text and "Partial" in text
     got = {r["user_id"]: r["id"] for r in newest.collect()}
     assert got["hot"] == 2997
+
+
+def test_nested_columns_are_measured_by_what_they_hold(spark):
+    d = spark.createDataFrame(
+        [(1, "abc", [1, 2, 3], ["xx", None], [("a", 1)], {"k": [1, 2]}), (2, None, None, [], None, None)],
+        "n int, t string, a array<long>, s array<string>, r array<struct<x: string, y: long>>, m map<string, array<long>>")
+    size = measure(d)
+    first = 6 * 16 + 3 + 3 * 16 + (2 * 16 + 2) + (16 + 2 * 16 + 1) + (16 + 1 + 16 + 2 * 16)
+    assert size.rows == 2 and size.bytes == first + 6 * 16
+    long = spark.range(10).select(F.sequence(F.lit(1), F.lit(1000)).alias("a"))
+    assert measure(long).bytes == 10 * (16 + 16_000)

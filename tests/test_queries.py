@@ -139,3 +139,18 @@ def test_a_message_is_parsed_once(spark):
     good, bad = validated(events.messages(events.transactions(spark, TESTDATA), corrupt=True))
     for side in (good, bad, good.select("user_id", "event_time")):
         assert plan(side).count("from_json(") == 1
+
+
+def test_queries_without_the_optional_operators(monkeypatch):
+    """A library that only the training-data operators need may be missing."""
+    import sys
+
+    import __spark_entry__ as entry
+
+    for name in [n for n in sys.modules if n.startswith("tillwatch.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    import tillwatch
+    monkeypatch.delattr(tillwatch, "llm", raising=False)
+    for missing in ("zstandard", "public_tokenizers"):
+        monkeypatch.setitem(sys.modules, missing, None)
+    assert set(entry.queries()) == set(entry.QUERIES) and set(entry.oracle_sql()) <= set(entry.QUERIES)

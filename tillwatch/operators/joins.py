@@ -30,10 +30,35 @@ class Size:
 
 
 def _row_bytes(schema: T.StructType) -> Column:
-    """Approximate width of one row: 16 bytes per column plus the length of texts."""
-    texts = [f.name for f in schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    lengths = [f"coalesce(octet_length(`{name}`), 0)" for name in texts]
-    return F.expr(" + ".join([f"{16 * len(schema)}L", *lengths]))
+    """Approximate width of one row: 16 bytes per column plus the length of texts and what
+    nested columns hold."""
+    sizes = [_held_bytes(F.col(f"`{f.name}`"), f.dataType) for f in schema]
+    total = F.lit(16 * len(schema)).cast("long")
+    for size in sizes:
+        total = total + size if size is not None else total
+    return total
+
+
+def _held_bytes(value: Column, kind: T.DataType) -> Column | None:
+    """Bytes of a value beyond its own 16; None if it never has any."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+    if isinstance(kind, T.ArrayType):
+        number = F.coalesce(F.greatest(F.size(value), F.lit(0)), F.lit(0)).cast("long") * 16
+        if _held_bytes(F.lit(None), kind.elementType) is None:
+            return number
+        held = F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + _held_bytes(x, kind.elementType))
+        return number + F.coalesce(held, F.lit(0).cast("long"))
+    if isinstance(kind, T.MapType):
+        keys = _held_bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+        return keys + _held_bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        total = F.lit(16 * len(kind)).cast("long")
+        for f in kind:
+            size = _held_bytes(value.getField(f.name), f.dataType)
+            total = total + size if size is not None else total
+        return total
+    return None
 
 
 def measure(df: DataFrame) -> Size:

@@ -410,7 +410,7 @@ SELECT transaction_id,
             WHEN CAST(transaction_id AS BIGINT) % 11 = 0 THEN 'again' ELSE status END AS status,
        strftime(CASE WHEN CAST(transaction_id AS BIGINT) % 7 = 0 THEN ingest_time + INTERVAL 1 DAY
                      ELSE ingest_time END, {TIME}) AS ingest_time,
-       velocity_5min, fraud_score, is_flagged
+       CAST(velocity_5min AS INTEGER) AS velocity_5min, fraud_score, is_flagged
 FROM scored""",
     "folded_newest_alerts": f"""{SCORED}
 SELECT transaction_id, user_id, fraud_score, reasons, strftime(flagged_at, {TIME}) AS flagged_at
