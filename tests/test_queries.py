@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 from tillwatch.operators import serving
 from tillwatch.operators.quality import freshness
-from tillwatch.operators.stats import running_totals
+from tillwatch.operators.stats import running_totals, running_totals_in_blocks
 from tillwatch.sources.events import AS_OF, at
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -89,6 +89,19 @@ def test_running_totals_keep_queries_apart(spark):
     assert plan(running_totals(ledger)).count("Exchange") == 1
 
 
+def test_running_totals_in_blocks_equal_those_in_one_piece(spark):
+    ledger = spark.range(0, 4000).filter("id % 13 <> 5").select(
+        F.expr("concat('q', id % 2)").alias("query_id"), F.expr("id div 2 - 700").alias("batch_id"),
+        F.expr("id % 7").alias("total"), F.expr("id % 3").alias("flagged"), F.expr("id % 5").alias("geo_hits"))
+    blocked = running_totals_in_blocks(ledger, 64)
+    assert rows(blocked) == rows(running_totals(ledger))
+    # The ledger itself is shuffled by query and block alone, and only block totals by query.
+    text = plan(blocked)
+    assert "hashpartitioning(query_id" in text and "batch_id" not in "".join(
+        line for line in text.splitlines() if "hashpartitioning" in line)
+    assert rows(running_totals_in_blocks(ledger.limit(0))) == []
+
+
 # Plans ---------------------------------------------------------------------------
 
 

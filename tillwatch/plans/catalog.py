@@ -436,6 +436,15 @@ def running_totals(spark: SparkSession, sf: str) -> DataFrame:
     return stats.running_totals(ledger)
 
 
+@query("running_totals_in_blocks")
+def running_totals_in_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Two queries (even and odd users) over the minutes of the data, in blocks of a day."""
+    ledger = scored(spark, sf).groupBy(
+        F.expr("if(cast(substring_index(user_id, '_', -1) as bigint) % 2 = 0, 'even', 'odd')").alias("query_id"),
+        F.expr("unix_seconds(event_time) div 60").alias("batch_id")).agg(*stats.batch_counters())
+    return stats.running_totals_in_blocks(ledger, 1440)
+
+
 @query("recent_window_filter")
 def recent_window_filter(spark: SparkSession, sf: str) -> DataFrame:
     rows = serving.recent(txns(spark, sf), "event_time", "24 HOURS", at(AS_OF_HOUR))

@@ -373,6 +373,17 @@ ledger AS (
 SELECT '' AS query_id, batch_id, total, flagged, geo_hits, {_totals('total')}, {_totals('flagged')},
        {_totals('geo_hits')}
 FROM ledger""",
+    "running_totals_in_blocks": f"""{SCORED},
+ledger AS (
+  SELECT CASE WHEN CAST(split_part(user_id, '_', 2) AS BIGINT) % 2 = 0 THEN 'even' ELSE 'odd' END AS query_id,
+         epoch_us(event_time) // 60000000 AS batch_id, count(*) AS total,
+         count(*) FILTER (is_flagged) AS flagged, count(*) FILTER (score_geo > 0) AS geo_hits
+  FROM scored GROUP BY 1, 2
+)
+SELECT query_id, batch_id, total, flagged, geo_hits,
+       CAST(sum(total) OVER q AS BIGINT) AS acc_total, CAST(sum(flagged) OVER q AS BIGINT) AS acc_flagged,
+       CAST(sum(geo_hits) OVER q AS BIGINT) AS acc_geo_hits
+FROM ledger WINDOW q AS (PARTITION BY query_id ORDER BY batch_id)""",
     "recent_window_filter": f"""{TXN}
 SELECT transaction_id, user_id, {_time('event_time')} FROM txn
 WHERE event_time >= TIMESTAMP '2024-01-30 23:57:13' - INTERVAL 24 HOUR""",
