@@ -17,7 +17,7 @@ from tillwatch.schemas import CUSTOMERS
 from tillwatch.sources import events
 from tillwatch.sources.events import AS_OF, at
 from tillwatch.sources.tables import (
-    load_customers, load_risk, or_empty, read_customers_csv, read_profiles,
+    customer_lines, load_customers, load_risk, or_empty, read_customers_csv, read_profiles,
 )
 
 
@@ -45,7 +45,7 @@ def test_customer_file_load_replaces_the_table(spark, databases, tmp_path):
     path = tmp_path / "customers.csv"
     path.write_text("user_id,plan,avg_amount_30d,credit_limit\nu1,BASIC,10.5,100\nu2,PREMIUM,x,\n")
     for _ in range(2):
-        assert daily.load_customers_job(spark, str(path), "lake.customers") == 2
+        assert daily.load_customers_job(spark, str(path), "lake.customers") == {"rows": 2, "rejected": 0}
     assert rows(spark.table("lake.customers")) == [
         ("u1", "BASIC", 10.5, 100.0), ("u2", "PREMIUM", None, None)]
     assert read_customers_csv(spark, str(path)).dtypes == [
@@ -53,6 +53,18 @@ def test_customer_file_load_replaces_the_table(spark, databases, tmp_path):
     assert load_customers(spark, "lake.customers").columns == ["user_id", "plan", "avg_amount_30d"]
 
 
+def test_broken_customer_lines_are_counted_and_left_out(spark, databases, tmp_path):
+    path = tmp_path / "broken.csv"
+    path.write_text("plan,user_id,avg_amount_30d,credit_limit,line\nBASIC,u1,1,2,a\nBASIC,u2\n"
+                    "BASIC,u3,1,2,a,more\nBASIC,,1,2,a\nBASIC,  ,1,2,a\n,u4,,,\n")
+    assert daily.load_customers_job(spark, str(path), "lake.customers") == {"rows": 2, "rejected": 4}
+    assert rows(load_customers(spark, "lake.customers")) == [("u1", "BASIC", 1.0), ("u4", None, None)]
+    rejected = customer_lines(spark, str(path)).filter("rejected IS NOT NULL").select("rejected")
+    assert [r[0] for r in rejected.collect()] == ["BASIC,u2", "BASIC,u3,1,2,a,more", "BASIC,1,2,a", "BASIC,  ,1,2,a"]
+    path.write_text("user_id,plan,avg_amount_30d,credit_limit\n")
+    assert daily.load_customers_job(spark, str(path), "lake.customers") == {"rows": 0, "rejected": 0}
+
+
 def test_missing_dimension_is_empty_but_other_errors_are_raised(spark, tmp_path):
     assert load_customers(spark, "lake.no_such_table").isEmpty()
     assert load_risk(spark, str(tmp_path / "nowhere"), "parquet").isEmpty()

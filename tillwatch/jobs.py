@@ -55,7 +55,8 @@ def init(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def customers(spark: SparkSession, args: argparse.Namespace) -> None:
-    print(f"{daily.load_customers_job(spark, args.csv, args.table)} customers loaded")
+    counts = daily.load_customers_job(spark, args.csv, args.table)
+    print(f"{counts['rows']} customers loaded, {counts['rejected']} lines rejected")
 
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:

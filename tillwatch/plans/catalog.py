@@ -18,7 +18,7 @@ from tillwatch.operators import (
     enrich, ingest, merge, profiles, quality, scoring, serving, stats, velocity,
 )
 from tillwatch.operators.joins import latest_by_key, left_join_unique
-from tillwatch.plans import streams
+from tillwatch.plans import loads, streams
 from tillwatch.schemas import MESSAGE_KEY, SERVING_FRAUD_SCORES, SERVING_TRANSACTIONS
 from tillwatch.sources import events
 from tillwatch.sources.events import AS_OF, AS_OF_HOUR, at
@@ -527,7 +527,20 @@ def profile_stale_count(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("load_count")
 def load_count(spark: SparkSession, sf: str) -> DataFrame:
-    return events.customers(txns(spark, sf)).agg(F.count(F.lit(1)).alias("rows"))
+    """What the last of two customer loads counted while it wrote."""
+    return loads.customer_loads(spark, sf)[1]
+
+
+@query("customer_loads")
+def customer_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers after two published loads of files with broken lines, through the loader."""
+    return shown(loads.customer_loads(spark, sf)[0])
+
+
+@query("profile_loads")
+def profile_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles built into the serving table, copied to the history side and loaded."""
+    return shown(loads.profile_loads(spark, sf))
 
 
 @query("quality_gate")
@@ -555,6 +568,13 @@ def velocity_5min_24h(spark: SparkSession, sf: str) -> DataFrame:
     return _velocity(streams.run_velocity(spark, sf, DAY_SECONDS))
 
 
+@query("late_data_policy")
+def late_data_policy(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row is delivered with its micro-batch; late ones are not counted."""
+    rows = streams.run_late(spark, sf, DAY_SECONDS)
+    return rows.select("transaction_id", "user_id", "arrived", "velocity_5min", "is_late")
+
+
 @query("hot_fanout")
 def hot_fanout(spark: SparkSession, sf: str) -> DataFrame:
     rows = streams.read_scored(spark, streams.run_hot(spark, sf, DAY_SCORING))

@@ -15,7 +15,7 @@ from tillwatch.operators.quality import (
 )
 from tillwatch.schemas import CUSTOMERS, RISK_PROFILES, SERVING_RISK_PROFILES
 from tillwatch.sources.files import children, delete
-from tillwatch.sources.tables import LOADS, read_customers_csv, read_table, table_location
+from tillwatch.sources.tables import LOADS, customer_lines, read_table, table_location
 from tillwatch.streaming.sinks import conform
 
 
@@ -51,9 +51,13 @@ def overwrite(df: DataFrame, table: str, schema: T.StructType | None = None) ->
     return int(rows.get["rows"])
 
 
-def load_customers_job(spark: SparkSession, csv_path: str, table: str) -> int:
-    """Customer file to the customer table."""
-    return overwrite(read_customers_csv(spark, csv_path), table, CUSTOMERS)
+def load_customers_job(spark: SparkSession, csv_path: str, table: str) -> dict[str, int]:
+    """Customer file to the customer table: ``rows`` written and lines ``rejected``, both
+    counted during the write."""
+    read = Observation("customer_lines")
+    lines = customer_lines(spark, csv_path).observe(read, F.count("rejected").alias("rejected"))
+    rows = overwrite(lines.filter("rejected IS NULL").drop("rejected"), table, CUSTOMERS)
+    return {"rows": rows, "rejected": int(read.get["rejected"])}
 
 
 def refresh_profiles(txns: DataFrame, table: str, as_of: Column | None = None) -> int:

@@ -462,7 +462,18 @@ WHERE ingest_time >= TIMESTAMP '2024-01-30 23:57:13' - INTERVAL 1 HOUR""",
     "profile_min_count": f"{_with(_TXN, _PROFILES)} SELECT count(*) AS profiles FROM profiles",
     "profile_stale_count": f"""{_with(_TXN, _RISK)}
 SELECT count(*) AS stale FROM risk WHERE CAST(updated_at AS DATE) < DATE '2024-01-19'""",
-    "load_count": f"{_with(_TXN, _CUST)} SELECT count(*) AS rows FROM cust",
+    "load_count": f"""{_with(_TXN, _CUST)}
+SELECT count(*) FILTER (right(user_id, 1) NOT IN ('3', '7')) AS rows,
+       count(*) FILTER (right(user_id, 1) IN ('3', '7')) AS rejected
+FROM cust""",
+    "customer_loads": f"""{_with(_TXN, _CUST)}
+SELECT user_id, plan, {_six('avg_amount_30d')} FROM cust WHERE right(user_id, 1) NOT IN ('3', '7')""",
+    "profile_loads": f"""{_with(_TXN, _PROFILES)}
+SELECT user_id, CAST(round(avg_amount_30d, 2) AS DOUBLE) AS avg_amount_30d,
+       CAST(round(stddev_amount, 2) AS DOUBLE) AS stddev_amount, {_six('avg_velocity_1h')},
+       {_six('last_merchant_lat')}, {_six('last_merchant_lon')},
+       '2024-01-31 00:00:00.000000' AS updated_at
+FROM profiles""",
     "quality_gate": f"""{_with(_TXN, _PROFILES)},
 seen AS (SELECT user_id, max(event_time) AS seen_at FROM txn GROUP BY user_id),
 merged AS (
@@ -488,6 +499,27 @@ SELECT "check", CAST(value AS BIGINT) AS value, CAST(threshold AS BIGINT) AS thr
 FROM verdicts""",
     "velocity_5min": _streamed_velocity(300),
     "velocity_5min_24h": _streamed_velocity(86400),
+    "late_data_policy": f"""{TXN},
+batches AS (
+  SELECT *, CASE WHEN event_time < TIMESTAMP '2024-01-11 00:00:00' THEN 0
+                 WHEN event_time < TIMESTAMP '2024-01-11 12:00:00' THEN 1 ELSE 2 END
+            + CASE WHEN CAST(transaction_id AS BIGINT) % 31 = 5 THEN 2
+                   WHEN CAST(transaction_id AS BIGINT) % 7 = 3 THEN 1 ELSE 0 END AS arrived
+  FROM txn WHERE amount > 0
+),
+spans AS (
+  SELECT user_id, arrived,
+         max(max(event_time)) OVER (PARTITION BY user_id ORDER BY arrived) - INTERVAL 1 DAY AS counted_from
+  FROM batches GROUP BY user_id, arrived
+),
+velocity AS (
+  SELECT s.user_id, s.arrived, s.counted_from, count(*) AS velocity_5min
+  FROM spans s JOIN batches b
+    ON b.user_id = s.user_id AND b.arrived <= s.arrived AND b.event_time >= s.counted_from
+  GROUP BY ALL
+)
+SELECT transaction_id, user_id, arrived, velocity_5min, event_time < counted_from AS is_late
+FROM batches JOIN velocity USING (user_id, arrived)""",
     "hot_fanout": f"""{STREAMED_DAY}
 SELECT transaction_id, user_id, fraud_score, is_flagged, reasons, k_topic, k_partition, k_offset
 FROM scored""",

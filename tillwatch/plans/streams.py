@@ -3,6 +3,8 @@ until all available data is processed, and the written result read back."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,34 +23,65 @@ ALL_AVAILABLE = {"availableNow": True}
 
 # Where the events are cut into the micro-batches of the velocity stream.
 VELOCITY_CUTS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00"]
+# The same where messages come late. Half a day between the cuts, so that of the late rows some
+# still lie in a span of a day.
+LATE_CUTS = ["2024-01-11 00:00:00", "2024-01-11 12:00:00"]
+# Every so many events, the remainder that is late, and by how many micro-batches.
+LATE = [(31, 5, 2), (7, 3, 1)]
 
 
 def run_velocity(spark: SparkSession, sf_dir: str, seconds: int = 300) -> DataFrame:
     """Transactions with the velocity that the state operator gave them, over three
     micro-batches in event order. The query is started anew for each, so the state passes
     through its checkpoint."""
-    root = scratch_path(spark, "velocity")
     raw = events.messages(events.transactions(spark, sf_dir))
+    edges = [None, *map(events.at, VELOCITY_CUTS), None]
+    parts = []
+    for low, high in zip(edges[:-1], edges[1:]):
+        part = raw if low is None else raw.filter(F.col("event_time") >= low)
+        parts.append(part if high is None else part.filter(F.col("event_time") < high))
+    return _run_batches(spark, parts, seconds, state.stamp_velocity)
+
+
+def run_late(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
+    """The same where some messages come one or two micro-batches after others of their time, with
+    ``arrived``, the number of the micro-batch, and ``is_late``."""
+    txns = events.transactions(spark, sf_dir)
+    arrived = F.lit(0)
+    for cut in LATE_CUTS:
+        arrived = arrived + (F.col("event_time") >= events.at(cut)).cast("int")
+    number = F.col("transaction_id").cast("long")
+    shift = F.lit(0)
+    for every, rest, batches in reversed(LATE):
+        shift = F.when(number % every == rest, batches).otherwise(shift)
+    arrived = arrived + shift
+    last = len(LATE_CUTS) + max(batches for _, _, batches in LATE)
+    parts = [events.messages(txns.filter(arrived == n)) for n in range(last + 1)]
+    rows = _run_batches(spark, parts, seconds, state.stamp_lateness)
+    return rows.withColumn("arrived", F.substring_index("batch", "-", -1).cast("int"))
+
+
+def _run_batches(
+    spark: SparkSession, parts: list[DataFrame], seconds: int, stamp: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """What the velocity stream writes when ``parts`` arrive as one micro-batch each."""
+    root = scratch_path(spark, "velocity")
     out = Target(f"{root}/out")
     numbers = iter(range(1_000_000))
 
     def on_batch(df: DataFrame, _: int) -> None:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            sinks.write_batch(state.stamp_velocity(df), out, Batch("velocity", next(numbers)))
+            sinks.write_batch(stamp(df), out, Batch("velocity", next(numbers)))
         finally:
             df.unpersist()
 
-    low = None
-    for high in [*VELOCITY_CUTS, None]:
-        part = raw if low is None else raw.filter(F.col("event_time") >= events.at(low))
-        part = part if high is None else part.filter(F.col("event_time") < events.at(high))
+    for part in parts:
         part.drop("event_time").write.mode("append").parquet(f"{root}/raw")
         good, _ = validated(read_raw_stream(spark, f"{root}/raw"))
         writer = state.velocity_stateful(good, seconds).writeStream.foreachBatch(on_batch)
         writer = writer.option("checkpointLocation", f"{root}/checkpoint")
         hot.start_stateful(writer, spark, ALL_AVAILABLE).awaitTermination()
-        low = high
     return spark.read.parquet(out.location)
 
 

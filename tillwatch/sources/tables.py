@@ -42,16 +42,39 @@ def table_version(spark: SparkSession, table: str) -> str | None:
         return None
 
 
-def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Customer file with a header row. Columns are picked by name and text that is not
-    a number becomes NULL."""
-    text = spark.read.option("header", "true").csv(path)
+def customer_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Customer file with a header row, and ``rejected``: the line, where it has another number
+    of fields than the header or no user. Columns are picked by name and text that is not a
+    number becomes NULL."""
+    reader = spark.read.option("header", "true")
+    names = reader.csv(path).columns
+    broken = unlike("line", names)
+    fields = [T.StructField(name, T.StringType()) for name in [*names, broken]]
+    # A line's fields can be counted only if none is left out of the parse.
+    text = reader.schema(T.StructType(fields)).options(
+        mode="PERMISSIVE", columnNameOfCorruptRecord=broken, columnPruning="false").csv(path)
+    no_user = F.coalesce(F.trim("user_id"), F.lit("")) == ""
+    line = F.coalesce(F.col(broken), F.when(no_user, F.concat_ws(",", *[f"`{n}`" for n in names])))
     return text.select(
         "user_id", "plan",
         *[F.expr(f"try_cast({c} AS DOUBLE)").alias(c) for c in ("avg_amount_30d", "credit_limit")],
+        line.alias("rejected"),
     )
 
 
+def unlike(name: str, names: list[str]) -> str:
+    """``name``, made longer until it is none of ``names``."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The customers of a file, without the lines it rejects."""
+    return customer_lines(spark, path).filter("rejected IS NULL").drop("rejected")
+
+
 def read_table(
     spark: SparkSession, name: str, fmt: str | None = None,
     options: Mapping[str, str] | None = None,

@@ -27,7 +27,7 @@ from tillwatch.operators.joins import Size, left_join_unique
 ROW, USER = "row", "user"
 # Slots in a span. A slot is what a micro-batch rewrites for one row in it.
 SLOTS = 32
-_COUNTS = "user_id string, velocity_5min long"
+_COUNTS = "user_id string, velocity_5min long, counted_from long"
 
 
 def merge_counts(times: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +68,7 @@ class SlotVelocity(StatefulProcessor):
         self._add(times[counted], counts[counted])
         total += int(counts[counted].sum())
         self.summary.update((newest, total, now))
-        yield pd.DataFrame({"user_id": [key[0]], "velocity_5min": [total]})
+        yield pd.DataFrame({"user_id": [key[0]], "velocity_5min": [total], "counted_from": [newest - self.span]})
 
     def _passed(self, old: int, new: int) -> int:
         """Number of events from ``old`` until before ``new``; slots that end there are dropped.
@@ -132,8 +132,9 @@ def velocity_stateful(good: DataFrame, seconds: int = 300, idle_ms: int = 600_00
 
     The rule: all event times of the user so far, together with this micro-batch, are
     cut to the last ``seconds`` before the newest of them, the end included; their
-    number holds for every row the user has in the micro-batch. A late row is not
-    counted but is still delivered. State is dropped after ``idle_ms`` without rows.
+    number holds for every row the user has in the micro-batch. A late row (one before
+    ``counted_from``, the start of the span in microseconds) is not counted but is still
+    delivered. State is dropped after ``idle_ms`` without rows.
     Drop columns such as ``raw_json`` beforehand when nothing downstream needs them.
     """
     per_user = (
@@ -155,7 +156,8 @@ def batch_users(tagged: DataFrame) -> DataFrame:
 
 def batch_rows(tagged: DataFrame) -> DataFrame:
     """The transactions of one micro-batch, without their velocity."""
-    return tagged.filter(F.col("_kind") == ROW).drop("_kind", "velocity_5min")
+    return tagged.filter(F.col("_kind") == ROW).drop(
+        "_kind", "velocity_5min", "counted_from")
 
 
 def stamp_velocity(
@@ -163,3 +165,14 @@ def stamp_velocity(
 ) -> DataFrame:
     """Micro-batch of ``velocity_stateful`` to transactions with their velocity."""
     return left_join_unique(batch_rows(tagged), batch_users(tagged), ["user_id"], policy, size)
+
+
+def stamp_lateness(
+    tagged: DataFrame, policy: JoinPolicy = DEFAULT_JOIN, size: Size | None = None
+) -> DataFrame:
+    """``stamp_velocity`` with ``is_late``: whether the row came after its user's span had passed
+    it, in this micro-batch or an earlier one, so that it is delivered without being counted."""
+    users = tagged.filter(F.col("_kind") == USER).select("user_id", "velocity_5min", "counted_from")
+    rows = left_join_unique(batch_rows(tagged), users, ["user_id"], policy, size)
+    late = F.unix_micros("event_time") < F.col("counted_from")
+    return rows.withColumn("is_late", late).drop("counted_from")
