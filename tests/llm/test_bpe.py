@@ -61,8 +61,9 @@ def test_small_segments_and_memory(vocabulary, edge, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     coder = bpe.Coder(open(PATH, "rb").read(), P.PATTERN)
     for text in ("the quick brown fox jumps", "over the lazy dog again"):
-        ids, = ([i for i, _ in pieces] for pieces in coder.encode([text]))
-        assert b"".join(ids) == b"".join(x.to_bytes(4, "little") for x in ENCODING.encode_ordinary(text))
+        ids, = coder.encode([text])
+        assert ids == b"".join(x.to_bytes(4, "little") for x in ENCODING.encode_ordinary(text))
+        assert coder.decode([ids, b""]) == [text.encode(), b""]
 
 
 def test_encode_and_decode_columns(vocabulary, edge):
@@ -85,5 +86,5 @@ CODER = []
 def test_any_text(texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
     coder = CODER[0] if CODER else CODER.append(bpe.Coder(open(PATH, "rb").read(), P.PATTERN)) or CODER[0]
-    for text, pieces in zip(texts, coder.encode(texts)):
-        assert [int(i) for _, s in pieces for i in s.split()] == ENCODING.encode_ordinary(text)
+    for text, ids in zip(texts, coder.encode(texts)):
+        assert [int(i) for i in coder.named(ids).split()] == ENCODING.encode_ordinary(text)

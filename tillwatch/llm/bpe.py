@@ -12,7 +12,7 @@ by the same rule with a heap.
 
 Memory: texts are cut between words into segments of ``SEGMENT`` characters and worked on in
 groups of about that size; ids leave in batches of about that much text; a worker remembers at
-most ``REMEMBERED`` words.
+most ``REMEMBERED`` words and pieces.
 
 Defined results: a null text is encoded as an empty one (no ids, no bytes); lone surrogates
 cannot occur in Spark strings; a null id column decodes to null; other columns pass through.
@@ -24,6 +24,7 @@ import base64
 import hashlib
 import heapq
 import re
+import sys
 from collections.abc import Iterator
 from itertools import islice
 from pathlib import Path
@@ -101,14 +102,15 @@ class Coder:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m")
         self._table("v", {"id": np.fromiter(self.ids.values(), np.int32), "hex": [t.hex() for t in self.ids]})
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
-        # Ids as int32 bytes and as decimal text, by word and by piece.
-        self.known_words: dict[str, tuple[bytes, str]] = {}
-        self.known_pieces: dict[str, tuple[bytes, str]] = {}
+        self.names = list(map(str, range(max(self.ids.values(), default=-1) + 1)))
+        # Ids as int32 bytes, by word and by piece.
+        self.known_words: dict[str, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register(name, pa.table(columns))
 
-    def contract(self, words: list[bytes]) -> list[np.ndarray]:
+    def contract(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word (neither long nor a vocabulary entry)."""
         lengths = np.array([len(w) for w in words])
         data = np.frombuffer(b"".join(words), np.uint8)
@@ -118,10 +120,10 @@ class Coder:
                               "token": self.bytes[data]})
         found = self.db.execute(CONTRACT).fetchnumpy()
         self.db.unregister("given")
-        tokens = np.asarray(found["token"], np.int32)
-        return np.split(tokens, np.searchsorted(found["word"], np.arange(1, len(words))))
+        ends = np.searchsorted(found["word"], np.arange(len(words)), "right")
+        return _cut(np.asarray(found["token"], np.int32).tobytes(), ends * 4)
 
-    def contract_long(self, word: bytes) -> np.ndarray:
+    def contract_long(self, word: bytes) -> bytes:
         """The same rule with a heap of (rank, position)."""
         tokens = self.bytes[np.frombuffer(word, np.uint8)].tolist()
         n = len(tokens)
@@ -141,7 +143,7 @@ class Coder:
                 right = after[left] if left >= 0 else n
                 if right < n and (made := self.merged.get((tokens[left], tokens[right]))) is not None:
                     heapq.heappush(heap, (made, left, tokens[left], tokens[right]))
-        return np.array([t for t in tokens if t >= 0], np.int32)
+        return np.array([t for t in tokens if t >= 0], np.int32).tobytes()
 
     def words_of(self, piece: str) -> list[str]:
         """The pattern's matches in a piece; letters after at most one blank are one."""
@@ -160,43 +162,41 @@ class Coder:
         ordinary, data = [], []
         for word in unknown:
             given = word.encode()
-            if given in self.ids:
-                self._keep(word, np.array([self.ids[given]], np.int32))
+            if (known := self.ids.get(given)) is not None:
+                self.known_words[word] = known.to_bytes(4, sys.byteorder)
             elif len(given) > LONG_WORD:
-                self._keep(word, self.contract_long(given))
+                self.known_words[word] = self.contract_long(given)
             else:
                 ordinary.append(word)
                 data.append(given)
         for first in range(0, len(ordinary), WORD_BLOCK):
             block = slice(first, first + WORD_BLOCK)
-            for word, ids in zip(ordinary[block], self.contract(data[block])):
-                self._keep(word, ids)
-        known = self.known_words
+            self.known_words.update(zip(ordinary[block], self.contract(data[block])))
+        known_words, known_pieces = self.known_words, self.known_pieces
         for piece, words in new.items():
-            if len(words) == 1:
-                self.known_pieces[piece] = known[words[0]]
-            else:
-                found = [known[w] for w in words]
-                self.known_pieces[piece] = (
-                    b"".join([i for i, _ in found]), " ".join([t for _, t in found]))
-
-    def _keep(self, word: str, ids: np.ndarray) -> None:
-        self.known_words[word] = ids.tobytes(), " ".join(map(str, ids.tolist()))
+            known_pieces[piece] = (known_words[words[0]] if len(words) == 1
+                                   else b"".join([known_words[w] for w in words]))
 
-    def encode(self, texts: list[str]) -> Iterator[list[tuple[bytes, str]]]:
-        """Per text its pieces, each as (ids as int32 bytes, ids as decimal text)."""
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Per text its ids as int32 bytes."""
         cut = [_PIECES(text) for text in texts]
         self.learn({piece for pieces in cut for piece in pieces})
+        known = self.known_pieces.__getitem__
         for pieces in cut:
-            yield [self.known_pieces[p] for p in pieces]
+            yield b"".join(map(known, pieces))
+
+    def named(self, ids: bytes) -> str:
+        """Ids as decimal text, joined by blanks."""
+        return " ".join(map(self.names.__getitem__, np.frombuffer(ids, np.int32).tolist()))
 
-    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        sizes = np.array([len(i) for i in ids])
+    def decode(self, ids: list[bytes]) -> list[bytes]:
+        """Per text the bytes that its ids stand for."""
+        sizes = np.array([len(data) // 4 for data in ids])
         if not sizes.sum():
             return [b""] * len(ids)
-        owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        self._table("tokens", {"text": owner, "pos": np.arange(len(owner), dtype=np.int64),
-                               "id": np.concatenate(ids).astype(np.int32)})
+        self._table("tokens", {"text": np.repeat(np.arange(len(ids), dtype=np.int32), sizes),
+                               "pos": np.arange(sizes.sum(), dtype=np.int64),
+                               "id": np.frombuffer(b"".join(ids), np.int32)})
         out = [b""] * len(ids)
         for text, data in self.db.execute(DECODE).fetchall():
             out[text] = bytes.fromhex(data)
@@ -204,6 +204,12 @@ class Coder:
         return out
 
 
+def _cut(data: bytes, ends: np.ndarray) -> list[bytes]:
+    """``data`` in the parts that end at ``ends``."""
+    last = ends.tolist()
+    return [data[a:b] for a, b in zip([0, *last[:-1]], last)]
+
+
 def _first_half(known: dict) -> dict:
     """What was met first, which is what is met most."""
     return dict(islice(known.items(), REMEMBERED // 2))
@@ -261,8 +267,8 @@ class Vocabulary:
             for batch in _slices(batches, column):
                 parts: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
                 for group in _groups(batch.column(column)):
-                    for (row, _), pieces in zip(group, coder.encode([t for _, t in group])):
-                        parts[row].append(b"".join([ids for ids, _ in pieces]))
+                    for (row, _), ids in zip(group, coder.encode([t for _, t in group])):
+                        parts[row].append(ids)
                 data = [b"".join(p) for p in parts]
                 sizes = np.cumsum([0, *(len(d) // 4 for d in data)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(sizes, np.frombuffer(b"".join(data), np.int32))
@@ -285,7 +291,7 @@ class Vocabulary:
                 out: list[bytes | None] = []
                 for row in range(batch.num_rows):
                     ids = batch.column(column)[row]
-                    out.append(coder.decode([ids.values.to_numpy(zero_copy_only=False)])[0]
+                    out.append(coder.decode([np.asarray(ids.values, np.int32).tobytes()])[0]
                                if ids.is_valid else None)
                 kept = [i for i, name in enumerate(batch.schema.names) if name != "bytes"]
                 yield pa.RecordBatch.from_arrays(
@@ -308,13 +314,11 @@ class Vocabulary:
                 counts = np.zeros(n, np.int64)
                 ids_sha, text_sha = [hashlib.sha256() for _ in range(n)], [hashlib.sha256() for _ in range(n)]
                 for group in _groups(batch.column("text")):
-                    ids = []
-                    for (row, _), pieces in zip(group, coder.encode([t for _, t in group])):
-                        ids.append(np.frombuffer(b"".join([i for i, _ in pieces]), np.int32))
-                        if pieces:
-                            ids_sha[row].update(
-                                (" " * bool(counts[row]) + " ".join([s for _, s in pieces])).encode())
-                        counts[row] += len(ids[-1])
+                    ids = list(coder.encode([t for _, t in group]))
+                    for (row, _), data in zip(group, ids):
+                        if data:
+                            ids_sha[row].update((" " * bool(counts[row]) + coder.named(data)).encode())
+                        counts[row] += len(data) // 4
                     for (row, _), data in zip(group, coder.decode(ids)):
                         text_sha[row].update(data)
                 yield pa.RecordBatch.from_arrays(
