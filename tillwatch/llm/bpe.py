@@ -12,7 +12,7 @@ by the same rule with a heap.
 
 Memory: texts are cut between words into segments of ``SEGMENT`` characters and worked on in
 groups of about that size; ids leave in batches of about that much text; a worker remembers at
-most ``REMEMBERED`` words and pieces.
+most about ``REMEMBERED`` words and pieces.
 
 Defined results: a null text is encoded as an empty one (no ids, no bytes); lone surrogates
 cannot occur in Spark strings; a null id column decodes to null; other columns pass through.
@@ -26,7 +26,7 @@ import heapq
 import re
 import sys
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from tillwatch.llm.common import kept
 
 SEGMENT = 1 << 20
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 # Words contracted by one query.
 WORD_BLOCK = 50_000
 LONG_WORD = 400
@@ -103,9 +103,8 @@ class Coder:
         self._table("v", {"id": np.fromiter(self.ids.values(), np.int32), "hex": [t.hex() for t in self.ids]})
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
         self.names = list(map(str, range(max(self.ids.values(), default=-1) + 1)))
-        # Ids as int32 bytes, by word and by piece.
-        self.known_words: dict[str, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
+        # Ids as int32 bytes of words and of pieces (a word alone is a piece of one word).
+        self.known: dict[str, bytes] = {}
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register(name, pa.table(columns))
@@ -145,43 +144,39 @@ class Coder:
                     heapq.heappush(heap, (made, left, tokens[left], tokens[right]))
         return np.array([t for t in tokens if t >= 0], np.int32).tobytes()
 
-    def words_of(self, piece: str) -> list[str]:
-        """The pattern's matches in a piece; letters after at most one blank are one."""
-        return [piece] if piece.isalpha() or piece[:1] == " " and piece[1:].isalpha() else self.words(piece)
-
     def learn(self, pieces: set[str]) -> None:
         """Encodes what is new among ``pieces``."""
-        new = {p: self.words_of(p) for p in pieces if p not in self.known_pieces}
-        if len(self.known_pieces) + len(new) > REMEMBERED:
-            self.known_pieces = _first_half(self.known_pieces)
-            new = {p: self.words_of(p) for p in pieces if p not in self.known_pieces}
-        unknown = {w for words in new.values() for w in words if w not in self.known_words}
-        if len(self.known_words) + len(unknown) > REMEMBERED:
-            self.known_words = _first_half(self.known_words)
-            unknown = {w for words in new.values() for w in words if w not in self.known_words}
+        new = pieces.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = _first_half(self.known)
+            new = pieces.difference(self.known)
+        known = self.known
+        # Letters after at most one blank are one word.
+        unknown = {p for p in new if p.strip(" ").isalpha()}
+        others = {p: self.words(p) for p in new.difference(unknown)}
+        unknown.update(chain.from_iterable(others.values()))
         ordinary, data = [], []
-        for word in unknown:
+        for word in unknown.difference(known):
             given = word.encode()
-            if (known := self.ids.get(given)) is not None:
-                self.known_words[word] = known.to_bytes(4, sys.byteorder)
+            if (one := self.ids.get(given)) is not None:
+                known[word] = one.to_bytes(4, sys.byteorder)
             elif len(given) > LONG_WORD:
-                self.known_words[word] = self.contract_long(given)
+                known[word] = self.contract_long(given)
             else:
                 ordinary.append(word)
                 data.append(given)
         for first in range(0, len(ordinary), WORD_BLOCK):
             block = slice(first, first + WORD_BLOCK)
-            self.known_words.update(zip(ordinary[block], self.contract(data[block])))
-        known_words, known_pieces = self.known_words, self.known_pieces
-        for piece, words in new.items():
-            known_pieces[piece] = (known_words[words[0]] if len(words) == 1
-                                   else b"".join([known_words[w] for w in words]))
+            known.update(zip(ordinary[block], self.contract(data[block])))
+        for piece, words in others.items():
+            if words != [piece]:
+                known[piece] = b"".join([known[w] for w in words])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Per text its ids as int32 bytes."""
         cut = [_PIECES(text) for text in texts]
         self.learn({piece for pieces in cut for piece in pieces})
-        known = self.known_pieces.__getitem__
+        known = self.known.__getitem__
         for pieces in cut:
             yield b"".join(map(known, pieces))
 
