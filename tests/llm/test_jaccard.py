@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from conftest import rows
@@ -9,6 +11,7 @@ from tillwatch.llm import jaccard as J
 from tillwatch.llm.common import table
 from tillwatch.llm.components import components
 from tillwatch.llm.queries import op2_jaccard_join
+from tillwatch.llm.shingles import shingle_sets
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -103,3 +106,27 @@ def test_components(spark):
     d = spark.createDataFrame([(f"{a:04}", f"{b:04}") for a, b in edges], "a string, b string")
     assert rows(components(d)) == sorted(
         [(f"{i:04}", "0000") for i in range(41)] + [(f"{i:04}", "0100") for i in range(100, 104)], key=repr)
+
+
+CHAIN = [[f"c{i}" for i in range(18 * n, 18 * n + 200)] for n in range(12)]
+
+
+@pytest.mark.parametrize("order", [(0, 3, 1, 2), (1, 0, 2, 3), (3, 2, 1, 0)])
+def test_links_of_a_cell_hold_its_classes_together(order):
+    """Only neighbours of the chain are similar; whatever the order in the cell, it stays one class."""
+    texts = pa.array([" ".join(CHAIN[n]) for n in order])
+    cell = pd.DataFrame({
+        "component": "c", "low": 0, "high": 0, "block": 0, "set_key": [f"k{n}" for n in order], "copies": 1,
+        "shingles": [s.tobytes() for s in shingle_sets(texts)]})
+    found = J._links(cell)
+    assert dict(zip(found["a"], found["links"])) == {"k0": 1, "k1": 2, "k2": 2, "k3": 1}
+    edges = {frozenset(e) for e in zip(found["a"], found["b"]) if e[0] != e[1]}
+    assert edges == {frozenset({"k0", "k1"}), frozenset({"k1", "k2"}), frozenset({"k2", "k3"})}
+
+
+def test_chains_are_one_class_each(spark):
+    documents = [(1000 * r + n, " ".join(f"r{r}{w}" for w in words))
+                 for r in range(8) for n, words in enumerate(CHAIN)]
+    d = spark.createDataFrame(documents, "doc_id long, text string")
+    found = rows(J.digest(J.similar(d)))
+    assert found == brute(documents) and {c for _, c, _ in found} == {1000 * r for r in range(8)}

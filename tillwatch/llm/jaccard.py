@@ -8,7 +8,8 @@
    What is left of a cell is written as a spanning forest: at most one row per node.
 3. Components of those forests hold all pairs that survived. Inside a component, again in
    bounded cells, shared shingles are counted exactly. Per node a cell returns the number of
-   its links and one partner, so rows grow with the nodes and not with the pairs.
+   its links and its edge in a spanning forest of them, so rows grow with the nodes and not
+   with the pairs, and no class falls apart.
 
 Result: per row of the input its class (component of exact links) and its number of links.
 
@@ -137,7 +138,8 @@ def _survivors(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _links(rows: pd.DataFrame) -> pd.DataFrame:
-    """Exact links in each cell: per node their number (copies included) and one partner."""
+    """Exact links in each cell: per node their number (copies included) and the partner that
+    joins it to its tree in a spanning forest of the links (itself for a root)."""
     group = _group_ids(rows, ["component", "low", "high"])
     out = []
     edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
@@ -156,12 +158,28 @@ def _links(rows: pd.DataFrame) -> pd.DataFrame:
         some = np.flatnonzero(linked.any(axis=1))
         if len(some):
             out.append(pd.DataFrame({
-                "a": names[some], "b": names[linked[some].argmax(axis=1)],
+                "a": names[some], "b": names[_forest(linked)[some]],
                 "links": (linked[some] @ weights).astype(np.int64)}))
     return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "links": []}).astype(
         {"a": object, "b": object, "links": np.int64})
 
 
+def _forest(linked: np.ndarray) -> np.ndarray:
+    """Spanning forest of a link matrix: the node from which each node is reached first, itself
+    for the root of a tree. Any one partner per node would not do: in the path p - q - r - s
+    both ends may be chosen by their neighbours, and the link between q and r is lost."""
+    parent = np.full(len(linked), -1)
+    for root in range(len(linked)):
+        if parent[root] >= 0:
+            continue
+        parent[root], reached = root, [root]
+        for node in reached:
+            new = np.flatnonzero(linked[node] & (parent < 0))
+            parent[new] = node
+            reached.extend(new.tolist())
+    return parent
+
+
 def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     """Matrix of the number of shingles that each two sets share."""
     n = len(sets)
@@ -231,7 +249,7 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def exact_links(documents: DataFrame, nodes: DataFrame, grouped: DataFrame) -> DataFrame:
-    """a, b (one partner) and links of every node that has links, one row per cell."""
+    """a, b (an edge of the cell's forest) and links of every node that has links, one row per cell."""
     sizes = nodes.join(grouped.withColumnRenamed("node", "set_key"), "set_key")
     totals = sizes.groupBy("component").agg(
         F.count(F.lit(1)).alias("members"), F.sum("size").alias("total"))
