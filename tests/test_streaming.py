@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -595,3 +596,42 @@ def test_large_dimension_is_cut_to_the_users_of_the_batch(spark):
     assert rows(large.for_users(users)) == [("7",)]
     assert Refreshed(lambda: big).for_users(users).count() == 100
     assert not Size(11, 0).fits(JoinPolicy(max_broadcast_rows=10))
+
+
+def test_users_with_few_times_keep_them_in_one_value():
+    """Inline or in slots, whatever way a user takes between them, the count is the model's."""
+    rng, kinds = random.Random(9), set()
+    for _ in range(60):
+        span = rng.choice([64, 1000])
+        held_state, operator = HeldState(), state.UserVelocity(span, 1000, 5)
+        operator.init(held_state)
+        held, at = [], 0
+        for _ in range(40):
+            at += rng.choice([0, 1, span // 3, span, 5 * span]) - rng.choice([0, 0, span // 2])
+            times = [at + rng.randrange(-2 * span, 2 * span) for _ in range(rng.choice([1, 1, 2, 9]))]
+            held = [t for t in held + times if t >= max(held + times) - span]
+            packed = np.array([times, [1] * len(times)], np.int64)
+            parts = iter([{"events": p.tobytes()} for p in (packed[:, :1], packed[:, 1:]) if p.size])
+            got = next(operator.handleInputRows(("u",), parts, held_state))
+            assert (got["velocity_5min"], got["counted_from"]) == (len(held), max(held) - span)
+            inline = operator.summary.get()[3] is not None
+            assert not (inline and operator.slots.rows) and (inline or operator.slots.rows)
+            kinds.add(inline)
+    assert kinds == {True, False}
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1000])
+def test_tasks_send_only_what_can_count(monkeypatch, chunk):
+    monkeypatch.setattr(state, "CHUNK", chunk)
+    users = ["a", "b", "a", None, "a", "b", "a", "c"]
+    times = pa.array([100, 50, 100, 7, 89, 60, 200, -5])
+    batches = [pa.RecordBatch.from_arrays([pa.array(users), times], names=["user_id", "event_us"])[i:i + 2]
+               for i in range(0, 8, 2)]
+    found = {}
+    for batch in state._count_in_task(10)(iter(batches)):
+        for row in batch.to_pylist():
+            for t, n in np.frombuffer(row["events"], np.int64).reshape(2, -1).T.tolist():
+                found[row["user_id"], t] = found.get((row["user_id"], t), 0) + n
+    whole = {("a", 200): 1, ("b", 50): 1, ("b", 60): 1, ("c", -5): 1}
+    assert whole.items() <= found.items() and set(found) <= {*whole, ("a", 100), ("a", 89)}
+    assert chunk < 1000 or found == whole

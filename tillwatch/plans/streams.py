@@ -19,6 +19,9 @@ from tillwatch.streaming import hot, lake, sinks, state
 from tillwatch.streaming.sinks import Batch, Target
 
 ALL_AVAILABLE = {"availableNow": True}
+# Bytes of a row group of raw messages. A task reads whole row groups, so a file of few large
+# ones is read by few tasks, however many there are.
+RAW_BLOCK = 8 << 20
 
 
 # Where the events are cut into the micro-batches of the velocity stream.
@@ -77,7 +80,8 @@ def _run_batches(
             df.unpersist()
 
     for part in parts:
-        part.drop("event_time").write.mode("append").parquet(f"{root}/raw")
+        writer = part.drop("event_time").write.mode("append").option("parquet.block.size", RAW_BLOCK)
+        writer.parquet(f"{root}/raw")
         good, _ = validated(read_raw_stream(spark, f"{root}/raw"))
         writer = state.velocity_stateful(good, seconds).writeStream.foreachBatch(on_batch)
         writer = writer.option("checkpointLocation", f"{root}/checkpoint")
