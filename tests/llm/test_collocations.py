@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import rows
@@ -115,3 +116,38 @@ def test_index_finds_every_phrase():
         by[k] = [f(p) for p in by[k - 1] for f in (index.extend_right, index.extend_left)]
         for found in by[k]:
             assert dict(zip(map(tuple, found.words.tolist()), found.count.tolist())) == want[k]
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 1000):
+        columns = rng.integers(-(1 << 62), 1 << 62, (3, n))
+        assert C._columns(C._planes(columns), 3).tolist() == columns.tolist()
+
+
+def test_a_shard_sends_few_bytes_a_pair_and_gets_back_a_bit():
+    """Pairs were sent as one row per first word, and the frequent ones were sent back as numbers."""
+    rng = np.random.default_rng(7)
+    numbers = (np.arange(5000) // 500 << 33) + np.arange(5000) % 500 + 1
+    shards = []
+    for shard in range(2):
+        text = np.append((5000 * rng.random(100_000) ** 2).astype(np.int32) + 1, np.int32(0))
+        index = FMIndex.of(text)
+        shards.append(pa.RecordBatch.from_arrays(
+            [pa.array([shard]), C._lists([0, 5000], numbers), pa.array([C._packed(index.left)]),
+             pa.array([C._packed(index.right)])], names=["shard", "numbers", "left", "right"]))
+    pairs = sum(len(x.extend_right(x.single()).count) for x, _ in (C._loaded(b, 0) for b in shards))
+    sent = list(C._pairs(iter(shards), 8))
+    assert sum(b.num_rows for b in sent) == 2 * 8
+    assert sum(len(data) for b in sent for data in b.column("data").to_pylist()) < 5 * pairs
+    rows = pa.Table.from_batches(sent).sort_by("bucket").to_batches(max_chunksize=3)
+    back = [r for b in C._frequent_pairs(iter(rows), 2) for r in b.to_pylist()]
+    bits = [r["alive"] for r in back if r["shard"] != C.ALL]
+    assert sum(map(len, bits)) <= pairs / 8 + 2 * 8
+    want = Counter()
+    for b in shards:
+        index, known = C._loaded(b, 0)
+        found = index.extend_right(index.single())
+        want.update(dict(zip(map(tuple, known[found.words].tolist()), found.count.tolist())))
+    got = {(w1, w2): n for r in back if r["shard"] == C.ALL for w1, w2, n in zip(r["w1"], r["w2"], r["n"])}
+    assert got == {pair: n for pair, n in want.items() if n >= 2}

@@ -5,11 +5,12 @@
 2. Words that are frequent in the whole corpus get a number. In each shard all others become
    separators, since no frequent phrase holds one, and a bidirectional FM-index is built of what
    is left and written.
-3. Every index extends its words to the right. A shard sends one row per first word, with all
-   second words and their counts; first words of more than ``SPLIT`` occurrences are cut by the second.
-   Where the rows of all shards meet, counts are summed and each shard gets back its frequent pairs.
+3. Every index extends its words to the right. Pairs are dealt to buckets by both words, so a frequent
+   word is spread; a shard sends one packed row per bucket, with its pairs and their counts. Where the
+   rows of all shards meet, counts are summed and each shard gets back a bit for each pair it has sent.
 4. Every index extends its frequent pairs to the right, and those to the left, where all pairs
-   inside are frequent. Counts of phrases of three and four words are summed across shards.
+   inside are frequent. Counts of phrases of three and four words are sent and summed the same way.
+   Buckets grow in number with the corpus, not in size.
 
 What a shard needs to know of the whole corpus is joined to it by shard and is never more than
 what occurs in it; nothing is sent to all tasks but tables of a measured size. Counts, cuts
@@ -45,10 +46,12 @@ SCALE = 2_000_000
 SHARD_WORDS = 1 << 20
 PIECES = 4096
 RANK_BUCKETS = 32
-# Occurrences of a first word in one group of its pairs.
-SPLIT = 100_000
-# What the row of a pair's total has in place of a shard.
+# Words of the corpus for each bucket of phrases, and the least number of buckets.
+SPLIT = 1 << 21
+BUCKETS = 32
+# What a row of the pairs' totals has in place of a shard, and the pairs in one such row.
 ALL = -1
+LISTED = 4096
 
 _FOLD = bytearray(range(256))
 _FOLD[65:91] = range(97, 123)
@@ -131,8 +134,7 @@ def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(batch.num_rows):
             text = _unpacked(batch.column("text")[row].as_py())
             alive = batch.column("alive")[row].values
-            local, number, parts = (
-                alive.field(k).to_numpy(zero_copy_only=False) for k in ("id", "number", "parts"))
+            local, number = (alive.field(k).to_numpy(zero_copy_only=False) for k in ("id", "number"))
             order = np.argsort(number)
             to = np.zeros(int(text.max()) + 1, np.int32)
             to[local[order]] = np.arange(1, len(order) + 1)
@@ -142,9 +144,8 @@ def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = FMIndex.of(np.append(text, np.int32(0)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("shard").slice(row, 1), _lists([0, len(order)], number[order]),
-                 _lists([0, len(order)], parts[order]),
                  pa.array([_packed(index.left)], pa.binary()), pa.array([_packed(index.right)], pa.binary())],
-                names=["shard", "numbers", "parts", "left", "right"])
+                names=["shard", "numbers", "left", "right"])
 
 
 def _loaded(batch: pa.RecordBatch, row: int) -> tuple[FMIndex, np.ndarray]:
@@ -154,117 +155,157 @@ def _loaded(batch: pa.RecordBatch, row: int) -> tuple[FMIndex, np.ndarray]:
     return index, np.concatenate([[0], numbers])
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per shard, first word and part: the second words (as differences, which take less
-    room) and the number of each."""
+def _order(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases, as rows of numbers, dealt to buckets by all of their words: the order in which they are
+    sent, the buckets that get any, and where each begins in that order."""
+    mixed = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        mixed = (mixed ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    bucket = ((mixed >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((words[:, 0], bucket))
+    bucket = bucket[order]
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    return order, bucket[starts], starts
+
+
+def _dealt(shard: int, words: np.ndarray, count: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One packed row per bucket of the phrases of a shard and the number of each."""
+    order, dealt, starts = _order(words, buckets)
+    columns = np.vstack([words.T, count])[:, order]
+    packed = zstandard.ZstdCompressor(level=3)
+    data = [packed.compress(_planes(columns[:, low:high]))
+            for low, high in zip(starts, np.append(starts[1:], len(order)))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(starts), shard, np.int64)), pa.array(dealt), pa.array(data, pa.binary())],
+        names=["shard", "bucket", "data"])
+
+
+def _planes(columns: np.ndarray) -> bytes:
+    """Numbers byte by byte, the lowest bytes of a column side by side, so that those that are
+    mostly zero take no room once packed. The first column, which is ordered, goes as differences."""
+    columns = np.ascontiguousarray(np.vstack([np.diff(columns[0], prepend=0), columns[1:]]), "<i8")
+    return columns.view(np.uint8).reshape(*columns.shape, 8).transpose(0, 2, 1).tobytes()
+
+
+def _columns(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, 8, -1)
+    columns = planes.transpose(0, 2, 1).copy().view("<i8")[:, :, 0]
+    columns[0] = np.cumsum(columns[0])
+    return columns
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The pairs of each shard and the number of each, one row per bucket."""
     release()
     for batch in batches:
         for row in range(batch.num_rows):
             index, numbers = _loaded(batch, row)
-            parts = np.concatenate([[1], batch.column("parts")[row].values.to_numpy(zero_copy_only=False)])
             found = index.extend_right(index.single())
-            first, second = found.words[:, 0], numbers[found.words[:, 1]]
-            part = second % parts[first]
-            order = np.lexsort((second, part, first))
-            first, second, part = first[order], second[order], part[order]
-            starts = np.flatnonzero((np.diff(first, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
-            steps = np.diff(second, prepend=0)
-            steps[starts] = second[starts]
-            ends = np.append(starts, len(second))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(starts), batch.column("shard")[row].as_py(), np.int64)),
-                 pa.array(numbers[first[starts]]), pa.array(part[starts]),
-                 _lists(ends, steps), _lists(ends, found.count[order])],
-                names=["shard", "w1", "part", "w2", "n"])
-
-
-def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """The offsets of the lists and their values."""
-    offsets = lists.offsets.to_numpy()
-    return offsets - offsets[0], lists.flatten().to_numpy(zero_copy_only=False)
-
-
-def _merged(rows: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
-    """Of whole groups of (w1, part): the frequent pairs of each shard, and their totals."""
-    shard, w1, part = (rows.column(k).to_numpy() for k in ("shard", "w1", "part"))
-    offsets, steps = _flat(rows.column("w2").combine_chunks())
-    count = _flat(rows.column("n").combine_chunks())[1]
-    group = np.cumsum((np.diff(w1, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
-    sizes = np.diff(offsets)
-    owner = np.repeat(np.arange(rows.num_rows), sizes)
-    so_far = np.cumsum(steps)
-    w2 = so_far - np.repeat((so_far - steps)[offsets[:-1]], sizes)
-    order = np.lexsort((w2, group[owner]))
-    new = (np.diff(w2[order], prepend=-1) != 0) | (np.diff(group[owner[order]], prepend=-1) != 0)
-    starts = np.flatnonzero(new)
-    total = np.add.reduceat(count[order], starts)
-    frequent = total >= least
-    alive = np.zeros(len(w2), bool)
-    alive[order] = np.repeat(frequent, np.diff(starts, append=len(w2)))
-    pair = order[starts[frequent]]
-    for shards, owners, seconds, counts in (
-        (shard, owner[alive], w2[alive], count[alive]),
-        (np.full(rows.num_rows, ALL, np.int64), owner[pair], w2[pair], total[frequent]),
-    ):
-        begin = np.flatnonzero(np.diff(owners, prepend=-1))
-        ends = np.append(begin, len(owners))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(shards[owners[begin]]), pa.array(w1[owners[begin]]), _lists(ends, seconds),
-             _lists(ends, counts)], names=["shard", "w1", "w2", "n"])
+            yield _dealt(batch.column("shard")[row].as_py(), numbers[found.words], found.count, buckets)
 
 
-def _frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """``_merged`` of all groups; rows come sorted by group."""
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each bucket; rows come sorted by bucket."""
     release()
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        w1, part = (batch.column(k).to_numpy() for k in ("w1", "part"))
-        last = int(np.flatnonzero((w1 != w1[-1]) | (part != part[-1])).max(initial=-1)) + 1
-        if held and (held[-1].column("w1")[0].as_py(), held[-1].column("part")[0].as_py()) != (w1[0], part[0]):
-            yield from _merged(pa.Table.from_batches(held), least)
-            held = []
-        if last:
-            yield from _merged(pa.Table.from_batches([*held, batch.slice(0, last)]), least)
-            held = []
-        held.append(batch.slice(last))
+        bucket = batch.column("bucket").to_numpy()
+        edges = np.flatnonzero(np.diff(bucket, prepend=held[-1].column("bucket")[0].as_py() if held else bucket[0]))
+        low = 0
+        for high in edges.tolist():
+            yield pa.Table.from_batches([*held, batch.slice(low, high - low)])
+            held, low = [], high
+        held.append(batch.slice(low))
     if held:
-        yield from _merged(pa.Table.from_batches(held), least)
+        yield pa.Table.from_batches(held)
+
+
+def _merged(rows: pa.Table, width: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the rows of a bucket: which of the phrases sent, one row after the other, are frequent, and
+    how many each row has; the frequent phrases once each, and their totals."""
+    unpack = zstandard.ZstdDecompressor()
+    parts = [_columns(unpack.decompress(data), width + 1) for data in rows.column("data").to_pylist()]
+    sizes = np.array([part.shape[1] for part in parts])
+    sent = np.concatenate(parts, axis=1)
+    order = np.lexsort(sent[width - 1::-1])
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for column in sent[:width]:
+        new[1:] |= np.diff(column[order]) != 0
+    starts = np.flatnonzero(new)
+    total = np.add.reduceat(sent[width][order], starts)
+    frequent = total >= least
+    alive = np.zeros(len(order), bool)
+    alive[order] = np.repeat(frequent, np.diff(starts, append=len(order)))
+    return alive, sizes, sent[:width, order[starts[frequent]]], total[frequent]
+
+
+def _frequent_pairs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Of each bucket, a bit per pair that a shard has sent, whether it is frequent; and the
+    frequent pairs with their totals."""
+    release()
+    for rows in _buckets(batches):
+        alive, sizes, words, total = _merged(rows, 2, least)
+        ends = np.cumsum(sizes)
+        bits = [np.packbits(alive[low:high]).tobytes() for low, high in zip(ends - sizes, ends)]
+        none = np.zeros(len(bits) + 1, np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("shard").combine_chunks(), rows.column("bucket").combine_chunks(),
+             pa.array(bits, pa.binary()), *[_lists(none, np.zeros(0, np.int64))] * 3],
+            names=["shard", "bucket", "alive", "w1", "w2", "n"])
+        starts = np.arange(0, len(total), LISTED)
+        if len(starts):
+            lists = [_lists(np.append(starts, len(total)), column) for column in (*words, total)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(starts), ALL, np.int64)),
+                 pa.array(np.full(len(starts), rows.column("bucket")[0].as_py(), np.int64)),
+                 pa.nulls(len(starts), pa.binary()), *lists],
+                names=["shard", "bucket", "alive", "w1", "w2", "n"])
 
 
-def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequent_phrases(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    release()
+    for rows in _buckets(batches):
+        _, _, words, total = _merged(rows, DEPTH, least)
+        yield pa.RecordBatch.from_arrays(
+            [*map(pa.array, words), pa.array(total)], names=["w1", "w2", "w3", "w4", "n"])
+
+
+def _longer(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The phrases of three and four words of each shard whose pairs are all frequent, and the number of
+    each, one row per bucket."""
     release()
     for batch in batches:
         for row in range(batch.num_rows):
             index, numbers = _loaded(batch, row)
-            alive = batch.column("alive")[row].values
-            offsets, second = _flat(alive.field("w2"))
-            first = np.repeat(alive.field("w1").to_numpy(zero_copy_only=False), np.diff(offsets))
-            known = np.searchsorted(numbers, first), np.searchsorted(numbers, second)
-            pairs = np.sort(known[0] * index.ids + known[1])
+            two = index.extend_right(index.single())
+            # The pairs as ``_pairs`` has sent them, so a bit tells of each whether it is frequent.
+            order, dealt, starts = _order(numbers[two.words], buckets)
+            bits = {x["bucket"]: x["alive"] for x in batch.column("alive")[row].as_py()}
+            alive = np.zeros(len(order), bool)
+            for bucket, low, high in zip(dealt.tolist(), starts, np.append(starts[1:], len(order))):
+                sent = np.frombuffer(bits[bucket], np.uint8)
+                alive[order[low:high]] = np.unpackbits(sent, count=high - low).astype(bool)
+            two = two.only(alive)
+            if not len(two.count):
+                continue
+            pairs = two.words[:, 0] * index.ids + two.words[:, 1]
 
             def frequent(words: np.ndarray) -> np.ndarray:
                 key = words[:, 0] * index.ids + words[:, 1]
                 return pairs[np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)] == key
 
-            single = index.single()
-            two = index.extend_right(single.only(np.isin(single.words[:, 0], known[0])))
-            two = two.only(frequent(two.words))
             three = index.extend_right(two)
             three = three.only(frequent(three.words[:, 1:]))
             four = index.extend_left(three)
             four = four.only(frequent(four.words[:, :2]))
-            for found in (three, four):
-                columns = [numbers[found.words[:, k]] if k < found.words.shape[1]
-                           else np.zeros(len(found.count), np.int64) for k in range(DEPTH)]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, columns), pa.array(found.count.astype(np.int64))],
-                    names=["w1", "w2", "w3", "w4", "n"])
-
-
-def _summed(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+            words = np.zeros((len(three.count) + len(four.count), DEPTH), np.int64)
+            words[:len(three.count), :3] = numbers[three.words]
+            words[len(three.count):] = numbers[four.words]
+            yield _dealt(batch.column("shard")[row].as_py(), words, np.append(three.count, four.count), buckets)
 
 
 def frequent_phrases(documents: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -278,21 +319,24 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST) -> tuple[DataFram
     totals = written(counted.groupBy("lang").agg(F.sum("n").alias("words")), "totals")
     words = written(counted.filter(F.col("n") >= least).select(
         (F.monotonically_increasing_id() + 1).alias("number"), "lang", "word", "n"), "words")
-    alive = listed.join(words.select(
-        "lang", "word", "number", F.ceil(F.col("n") / SPLIT).cast("long").alias("parts")), ["lang", "word"]
-    ).groupBy("shard").agg(F.collect_list(F.struct("id", "number", "parts")).alias("alive"))
+    alive = listed.join(words.select("lang", "word", "number"), ["lang", "word"]).groupBy("shard").agg(
+        F.collect_list(F.struct("id", "number")).alias("alive"))
     indexes = written(shards.select("shard", "text").join(alive, "shard").mapInArrow(
-        _indexes, "shard long, numbers array<long>, parts array<long>, left binary, right binary"), "indexes")
-    met = indexes.mapInArrow(_pairs, "shard long, w1 long, part long, w2 array<long>, n array<long>").repartition(
-        "w1", "part").sortWithinPartitions("w1", "part")
+        _indexes, "shard long, numbers array<long>, left binary, right binary"), "indexes")
+    buckets = max(BUCKETS, (totals.agg(F.sum("words")).first()[0] or 0) // SPLIT)
+    sent = "shard long, bucket long, data binary"
+    met = indexes.mapInArrow(lambda batches: _pairs(batches, buckets), sent).repartition(
+        "bucket").sortWithinPartitions("bucket")
     found = written(met.mapInArrow(
-        lambda batches: _frequent(batches, least), "shard long, w1 long, w2 array<long>, n array<long>"), "pairs")
+        lambda batches: _frequent_pairs(batches, least),
+        "shard long, bucket long, alive binary, w1 array<long>, w2 array<long>, n array<long>"), "pairs")
     pairs = found.filter(F.col("shard") == ALL).select(
-        "w1", F.explode(F.arrays_zip("w2", "n")).alias("pair")).select("w1", "pair.w2", "pair.n")
+        F.explode(F.arrays_zip("w1", "w2", "n")).alias("pair")).select("pair.*")
     alive = found.filter(F.col("shard") != ALL).groupBy("shard").agg(
-        F.collect_list(F.struct("w1", "w2")).alias("alive"))
-    longer = indexes.join(alive, "shard").mapInArrow(_longer, "w1 long, w2 long, w3 long, w4 long, n long")
-    longer = _summed(longer, ["w1", "w2", "w3", "w4"], least)
+        F.collect_list(F.struct("bucket", "alive")).alias("alive"))
+    longer = indexes.join(alive, "shard").mapInArrow(lambda batches: _longer(batches, buckets), sent).repartition(
+        "bucket").sortWithinPartitions("bucket").mapInArrow(
+        lambda batches: _frequent_phrases(batches, least), "w1 long, w2 long, w3 long, w4 long, n long")
     phrases = written(words.select(F.array("number").alias("phrase"), "n").unionByName(
         pairs.select(F.array("w1", "w2").alias("phrase"), "n")).unionByName(
         longer.select(F.expr("filter(array(w1, w2, w3, w4), w -> w <> 0)").alias("phrase"), "n")), "phrases")
