@@ -257,6 +257,23 @@ def test_state_written_does_not_grow_with_the_history(spark, tmp_path):
     assert updated[0] > 30 and updated[2] <= updated[1] + 1 <= 4
 
 
+def test_messages_are_parsed_once_and_dealt_over_all_tasks(spark, tmp_path):
+    """Both branches of the query parsed the messages, in as many tasks as the file had parts."""
+    topic, parts = Topic(spark, tmp_path), []
+    topic.send([txn(i, f"u{i % 7}", i) for i in range(200)])
+    good, _ = validated(topic.stream())
+
+    def on_batch(df, _):
+        parts.extend(r[0] for r in state.batch_rows(df).groupBy(F.spark_partition_id()).count().collect())
+
+    writer = state.velocity_stateful(good.drop("raw_json")).writeStream.foreachBatch(on_batch)
+    query = hot.start_stateful(writer.option("checkpointLocation", str(tmp_path / "c")), spark, ONCE)
+    run(query)
+    made = query._jsq.explainInternal(False)
+    assert made.count("from_json(") == 1 and "ReusedExchange" in made
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def until(condition, seconds=WAIT):
     """Poll; a query with idle timeouts keeps running empty batches, so waiting for it
     to have nothing left to do would not end."""

@@ -83,7 +83,7 @@ def _run_batches(
         writer = part.drop("event_time").write.mode("append").option("parquet.block.size", RAW_BLOCK)
         writer.parquet(f"{root}/raw")
         good, _ = validated(read_raw_stream(spark, f"{root}/raw"))
-        writer = state.velocity_stateful(good, seconds).writeStream.foreachBatch(on_batch)
+        writer = state.velocity_stateful(good.drop("raw_json"), seconds).writeStream.foreachBatch(on_batch)
         writer = writer.option("checkpointLocation", f"{root}/checkpoint")
         hot.start_stateful(writer, spark, ALL_AVAILABLE).awaitTermination()
     return spark.read.parquet(out.location)

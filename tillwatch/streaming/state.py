@@ -196,6 +196,13 @@ def _count_in_task(span_us: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return count
 
 
+def _dealt_evenly(good: DataFrame) -> DataFrame:
+    """The rows in as many even parts as the session shuffles into, whatever the files or topic
+    partitions they came from. Every column is part of the key, so that none is pruned in one branch of
+    a query only: both branches then read one exchange, and messages are read and parsed once."""
+    return good.repartition(F.xxhash64(*[F.col(f"`{c}`") for c in good.columns]))
+
+
 def velocity_stateful(good: DataFrame, seconds: int = 300, idle_ms: int = 600_000) -> DataFrame:
     """Transactions and one count per user of the micro-batch, told apart by ``_kind``.
 
@@ -206,6 +213,7 @@ def velocity_stateful(good: DataFrame, seconds: int = 300, idle_ms: int = 600_00
     delivered. State is dropped after ``idle_ms`` without rows.
     Drop columns such as ``raw_json`` beforehand when nothing downstream needs them.
     """
+    good = _dealt_evenly(good)
     per_user = (
         good.select("user_id", F.unix_micros("event_time").alias("event_us"))
         .mapInArrow(_count_in_task(seconds * 1_000_000), "user_id string, events binary")
